@@ -152,7 +152,9 @@ def quarantine_split(spark, sf_dir):
         .alias("value"),
     )
     decoded = decode_wire(damaged, on_error="quarantine", keep=["sent_id"])
-    return decoded.select("sent_id", "problem", "score", "merchant")
+    return decoded.select(
+        "sent_id", "problem", F.col("score").cast("string").alias("score"), "merchant"
+    )
 
 
 def custom_rules(spark, sf_dir):
@@ -339,7 +341,8 @@ def transactions_table(spark, sf_dir):
     """Write decoded transactions partitioned by day, and read the table."""
     path = new_folder(spark, "transactions")
     write_transactions(screen(_messages(spark, sf_dir)), path, rebalance=True)
-    return _result(read_transactions(spark, path).drop("ingest_ts"))
+    stored = read_transactions(spark, path).drop("ingest_ts")
+    return _result(stored.withColumn("txn_date", F.col("txn_date").cast("string")))
 
 
 def rows_processed(spark, sf_dir):
@@ -648,7 +651,7 @@ SELECT txn_id AS sent_id,
        CASE CAST(txn_id AS BIGINT) % 7
             WHEN 0 THEN 'too few fields' WHEN 1 THEN 'bad score'
             WHEN 2 THEN 'bad amount' WHEN 3 THEN 'bad txn_time' END AS problem,
-       CASE WHEN CAST(txn_id AS BIGINT) % 7 > 1 THEN score END AS score, merchant
+       CASE WHEN CAST(txn_id AS BIGINT) % 7 > 1 THEN CAST(score AS VARCHAR) END AS score, merchant
 FROM txn""",
         "custom_rules": f"""
 WITH {_TXN}
@@ -715,7 +718,7 @@ SELECT c_custkey, u, coalesce(label, 'All Other') AS label, coalesce(region, '')
 FROM numbered ASOF LEFT JOIN low ON u <= cum""",
         "assign_weighted_sliced": _ASSIGN,
         "transactions_table": f"""
-WITH {_TXN} SELECT {_TXN_COLUMNS}, CAST(txn_time AS DATE) AS txn_date FROM txn""",
+WITH {_TXN} SELECT {_TXN_COLUMNS}, strftime(txn_time, '%Y-%m-%d') AS txn_date FROM txn""",
         "rows_processed": "SELECT count(*) AS stored, count(*) AS processed FROM events",
         "added_column": f"""
 WITH {_TXN}

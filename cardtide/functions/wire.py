@@ -50,7 +50,10 @@ def decode_wire(
     if on_error not in ("fail", "quarantine"):
         raise ValueError(f"on_error must be 'fail' or 'quarantine', not {on_error!r}")
     text = F.col(value).cast("string")
-    parts = df.select(*keep, text.alias("value"), F.split(text, WIRE_SEPARATOR).alias("_parts"))
+    # A one-element explode keeps the split in a step of its own: a filter on a decoded
+    # field is not moved below it, so no message is split twice.
+    split_once = F.explode(F.array(F.split(text, WIRE_SEPARATOR)))
+    parts = df.select(*keep, text.alias("value"), split_once.alias("_parts"))
     raw = {name: F.get("_parts", F.lit(i)) for i, name in enumerate(WIRE_FIELDS)}
     typed = {name: raw[name].try_cast(_TYPES[name]) if name in _TYPES else raw[name] for name in raw}
     if on_error == "fail":
@@ -61,12 +64,11 @@ def decode_wire(
         *keep,
         "value",
         *[typed[name].alias(name) for name in WIRE_FIELDS],
-        (F.size("_parts") < len(WIRE_FIELDS)).alias("_short"),
+        F.coalesce(F.size("_parts") < len(WIRE_FIELDS), F.lit(True)).alias("_short"),
     )
     problem = F.when(F.col("_short"), F.lit("too few fields"))
     for name in _TYPES:
         problem = problem.when(F.col(name).isNull(), F.lit(f"bad {name}"))
-    problem = problem.when(F.col("value").isNull(), F.lit("too few fields"))
     return fields.withColumn("problem", problem).drop("_short")
 
 

@@ -34,27 +34,30 @@ def fold_items(
     entry = F.struct(*order_by, item.alias("item"), price.cast(MONEY).alias("price"))
     entries = lines.select(key, entry.alias("_entry"))
     large = (
-        lines.groupBy(key)
+        lines.groupBy(F.col(key).alias("_key"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > items_per_part)
-        .select(key, F.ceil(F.col("_n") / items_per_part).alias("_parts"))
+        .select("_key", F.ceil(F.col("_n") / items_per_part).alias("_parts"))
     )
     n_large = large.limit(MAX_BROADCAST_BASKETS + 1).count()
     if n_large == 0:
         return _fold(entries.withColumn("part", F.lit(0)), key)
     if n_large <= MAX_BROADCAST_BASKETS:
         large = F.broadcast(large)
-    small = _fold(
-        entries.join(large.select(key), key, "left_anti").withColumn("part", F.lit(0)), key
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    small = _fold(entries.join(large, same, "left_anti").withColumn("part", F.lit(0)), key)
+    return small.unionByName(
+        _fold_large(entries.join(large, same).drop("_key"), key, items_per_part)
     )
-    return small.unionByName(_fold_large(entries.join(large, key), key, items_per_part))
 
 
 def _fold(entries: DataFrame, key: str) -> DataFrame:
+    # Lists do not get smaller by being built before the shuffle, so rows go to their
+    # basket first and are listed there once.
     texts = F.transform(
-        F.array_sort(F.collect_list("_entry")), lambda e: item_text(e["item"], e["price"])
+        F.sort_array(F.collect_list("_entry")), lambda e: item_text(e["item"], e["price"])
     )
-    return entries.groupBy(key, "part").agg(
+    return entries.repartition(key).groupBy(key, "part").agg(
         F.array_join(texts, ITEM_SEPARATOR).alias("items"),
         F.sum("_entry.price").alias("amount"),
         F.count(F.lit(1)).alias("n_items"),
@@ -78,7 +81,7 @@ def _fold_large(entries: DataFrame, key: str, items_per_part: int) -> DataFrame:
     spread = pieces.withColumn(
         "part", F.pmod(F.xxhash64("_entry", "_piece"), F.col("_parts")).cast("int")
     )
-    listed = F.array_sort(F.collect_list(F.struct("_entry", "_copies")))
+    listed = F.sort_array(F.collect_list(F.struct("_entry", "_copies")))
     texts = F.flatten(
         F.transform(
             listed,

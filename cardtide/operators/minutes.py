@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardtide.functions.calendar import calendar_parts
+from cardtide.functions.calendar import calendar_parts, epoch_minute, from_epoch_minute
 from cardtide.functions.rates import approval_rate
 from cardtide.schemas import APPROVED
 
@@ -35,14 +35,22 @@ def minute_rollup(
     a minute holding most of the data still shuffles as a handful of rows.
 
     ``label`` names a minute by its ``start``, or by its ``end`` as a job does
-    that labels the minute just closed with the clock.
+    that labels the minute just closed with the clock. A null time raises in a batch;
+    a stream passes over it, as it does over rows behind the watermark.
     """
     if label not in ("start", "end"):
         raise ValueError(f"label must be 'start' or 'end', not {label!r}")
-    counted = txns.groupBy(F.window(time, "1 minute").alias("_window")).agg(
+    if txns.isStreaming:
+        keyed, minute_ts = F.window(time, "1 minute"), F.col(f"_minute.{label}")
+    else:
+        # A plain bigint key. window() would add an is-not-null filter that Catalyst
+        # moves below the decoder, which then runs twice per message.
+        keyed = F.coalesce(epoch_minute(F.col(time)), F.raise_error(F.lit(f"null {time}")))
+        minute_ts = from_epoch_minute(F.col("_minute") + int(label == "end"))
+    counted = txns.groupBy(keyed.alias("_minute")).agg(
         F.count(F.lit(1)).alias("_total"),
         F.count_if(F.col("status") == APPROVED).alias("_approved"),
     )
     return counted.select(
-        *minute_row(F.col(f"_window.{label}"), F.col("_total"), F.col("_approved"), calendar)
+        *minute_row(minute_ts, F.col("_total"), F.col("_approved"), calendar)
     )

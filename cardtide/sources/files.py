@@ -17,7 +17,7 @@ def stream_text(spark: SparkSession, path: str, max_files: int | None = None) ->
 def stream_parquet(
     spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None
 ) -> DataFrame:
-    """A stream over Parquet files; ``path`` may be a glob."""
+    """A stream over Parquet files; ``path`` is a folder or a glob, not one file."""
     reader = spark.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
