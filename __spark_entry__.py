@@ -46,12 +46,12 @@ from cardtide.sources.tables import (
     write_transactions,
 )
 from cardtide.streaming import (
-    few_state_partitions,
     finish,
     minutes_of,
     sliding_hour_of,
     start_minutes,
     start_raw,
+    state_session,
     unique_transactions,
 )
 
@@ -390,7 +390,7 @@ def stream_raw(spark, sf_dir):
 
 def stream_minute_rollup(spark, sf_dir):
     path = new_folder(_utc(spark), "minutes")
-    session = few_state_partitions(spark, 8)
+    session = state_session(spark, 8)
     judged = classify(wire_rows(_event_stream(session, sf_dir)))
     minutes = minutes_of(judged)
     finish(start_minutes(minutes, path, f"{path}_checkpoint", trigger=ONCE))
@@ -404,7 +404,7 @@ def stream_chained(spark, sf_dir):
 
 def stream_sliding_hour(spark, sf_dir):
     path = new_folder(_utc(spark), "hours")
-    session = few_state_partitions(spark, 8)
+    session = state_session(spark, 8)
     hours = sliding_hour_of(classify(wire_rows(_event_stream(session, sf_dir))))
     finish(
         hours.writeStream.format("parquet")
@@ -419,9 +419,9 @@ def stream_sliding_hour(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     """Every event sent twice, kept once."""
     path = new_folder(_utc(spark), "unique")
-    events = _event_stream(spark, sf_dir).withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1))))
-    copy = F.col("_metadata.row_index") * 2 + F.col("_copy")
-    sent = events.withColumn("_offset", copy)
+    events = _event_stream(state_session(spark), sf_dir)
+    sent = events.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    sent = sent.withColumn("_offset", F.col("_metadata.row_index") * 2 + F.col("_copy"))
     rows = sent.select(
         F.col("event_id").cast("string").alias("txn_id"),
         F.col("ts").cast("timestamp").alias("txn_time"),

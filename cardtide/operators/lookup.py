@@ -26,11 +26,11 @@ def assign_weighted(
     every bound (or with a null ``u``) get; by default ``{"label": "All Other"}``.
     A bound given twice keeps the greatest of its labels.
 
-    The bounds are counted first. Up to ``max_broadcast`` of them are cut at the
+    The bounds are read first, once. Up to ``max_broadcast`` of them are cut at the
     edges of 1,024 equal slots and broadcast as a hash table on the slot, so a row is
-    compared with the few bounds of its slot and ``df`` is not shuffled. Beyond that
-    the distinct numbers are merged with the bounds slice by slice, see
-    ``_labels_by_slice``.
+    compared with the few bounds of its slot and ``df`` is not shuffled; a stream
+    keeps the bounds it started with. If there are more, the distinct numbers are merged
+    with the bounds slice by slice, see ``_labels_by_slice`` (batch only).
     """
     labels = dict(labels or {"label": NO_LABEL})
     fetched = F.struct(*[F.col(name).alias(name) for name in labels])
@@ -39,8 +39,10 @@ def assign_weighted(
         .groupBy(F.col(cum).cast("double").alias("_hi"))
         .agg(F.max(fetched).alias("_label"))
     )
-    if steps.limit(max_broadcast + 1).count() <= max_broadcast:
-        found = _broadcast_join(df, steps, F.col(u).cast("double"))
+    head = steps.limit(max_broadcast + 1).toArrow()
+    if head.num_rows <= max_broadcast:
+        known = df.sparkSession.createDataFrame(head, steps.schema)
+        found = _broadcast_join(df, known, F.col(u).cast("double"))
     else:
         found = _sliced_join(df, steps, F.col(u).cast("double"))
     return found.select(
@@ -61,7 +63,7 @@ def _slot(number: Column) -> Column:
 
 
 def _broadcast_join(df: DataFrame, steps: DataFrame, u: Column) -> DataFrame:
-    # The one ordered window is over the counted bounds only.
+    # The one window without a partition is over the bounds, which are known to be few.
     ranges = steps.withColumn("_lo", F.lag("_hi").over(Window.orderBy("_hi")))
     first = F.when(F.col("_lo").isNull(), F.lit(0)).otherwise(_slot(F.col("_lo")))
     ranges = ranges.withColumn("_slot", F.explode(F.sequence(first, _slot(F.col("_hi")))))

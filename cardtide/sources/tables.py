@@ -47,8 +47,9 @@ def write_transactions(
 
 
 def write_minutes(minutes: DataFrame, path: str, mode: str = "append") -> None:
-    """Write minute rows partitioned by day."""
-    minute_rows(minutes).write.mode(mode).partitionBy("minute_date").parquet(path)
+    """Write minute rows partitioned by day, one file of at most 1,440 rows for each."""
+    rows = minute_rows(minutes).repartition("minute_date")
+    rows.write.mode(mode).partitionBy("minute_date").parquet(path)
 
 
 def write_counted(txns: DataFrame, path: str, **how) -> int:
@@ -97,16 +98,23 @@ def create_tables(
     transactions: str = "transactions",
     minutes: str = "txn_count_min",
 ) -> None:
-    """Create both tables in the catalog, empty or over what the paths hold."""
+    """Create both tables in the catalog, empty or over what the paths hold.
+
+    Rows added by path later are seen once ``spark.catalog.recoverPartitions`` has found
+    their days; rows added with ``transaction_rows(df).write.insertInto(table)`` at once.
+    """
     for name, path, schema, day in (
         (transactions, transactions_path, TRANSACTION_TABLE, "txn_date"),
         (minutes, minutes_path, MINUTE_TABLE, "minute_date"),
     ):
+        # An empty append makes the folder and adds no file.
+        spark.createDataFrame([], schema).write.mode("append").partitionBy(day).parquet(path)
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
             f"PARTITIONED BY ({day}) LOCATION '{path}'"
         )
+        spark.catalog.recoverPartitions(name)
 
 
 def add_column(spark: SparkSession, table: str, column: str, kind: str) -> None:

@@ -1,7 +1,6 @@
 """The same transforms as Structured Streaming jobs."""
 
 from cardtide.streaming.jobs import (
-    few_state_partitions,
     finish,
     minutes_by_arrival,
     minutes_of,
@@ -10,11 +9,11 @@ from cardtide.streaming.jobs import (
     start_minutes,
     start_raw,
     start_screening,
+    state_session,
     unique_transactions,
 )
 
 __all__ = [
-    "few_state_partitions",
     "finish",
     "minutes_by_arrival",
     "minutes_of",
@@ -23,5 +22,6 @@ __all__ = [
     "start_minutes",
     "start_raw",
     "start_screening",
+    "state_session",
     "unique_transactions",
 ]

@@ -164,13 +164,16 @@ def finish(query: StreamingQuery, timeout: int = 600) -> None:
         raise TimeoutError(f"stream did not finish in {timeout} s")
 
 
-def few_state_partitions(spark: SparkSession, partitions: int) -> SparkSession:
-    """A session with its own shuffle width, for streams whose state is small.
+def state_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session for streams with its own number of state partitions.
 
-    A minute stream holds a few open minutes: every state partition beyond a handful
-    only adds a commit per batch. The caller's session is left as it is.
+    A stream keeps the number it first ran with. By default that is one per core, as
+    suits state by transaction id. A minute stream holds a few open minutes and wants a
+    handful: each further one only adds a commit per batch. The caller's session is
+    left as it is.
     """
     session = spark.newSession()
     session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    width = partitions or spark.sparkContext.defaultParallelism
+    session.conf.set("spark.sql.shuffle.partitions", str(width))
     return session

@@ -12,7 +12,6 @@ from cardtide.schemas import TRANSACTION
 from cardtide.sources.files import stream_parquet, stream_text
 from cardtide.sources.tables import drop_days, read_minutes, read_transactions, read_with
 from cardtide.streaming import (
-    few_state_partitions,
     finish,
     minutes_by_arrival,
     minutes_of,
@@ -21,6 +20,7 @@ from cardtide.streaming import (
     start_minutes,
     start_raw,
     start_screening,
+    state_session,
     unique_transactions,
 )
 
@@ -70,7 +70,7 @@ def test_raw_stream_equals_batch(spark, tmp_path, messages):
 
 def test_both_outputs_go_on_after_a_restart(spark, tmp_path, messages):
     """Each part arrives between runs; the last run has nothing new."""
-    session = few_state_partitions(spark, 2)
+    session = state_session(spark, 2)
     for part in [*messages, None]:
         if part:
             deliver(part, tmp_path / "in")
@@ -88,7 +88,7 @@ def test_both_outputs_go_on_after_a_restart(spark, tmp_path, messages):
 
 
 def test_sliding_hour_stream_equals_batch(spark, tmp_path):
-    session = few_state_partitions(spark, 2)
+    session = state_session(spark, 2)
     stream = stream_parquet(session, EVENTS, spark.read.parquet(EVENTS).schema)
     hours = sliding_hour_of(classify(wire_rows(stream)))
     finish(
@@ -116,7 +116,7 @@ def test_repeats_are_dropped(spark, tmp_path, spread):
     random.Random(1).shuffle(rows)
     df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "txn_id string, txn_time timestamp, offset long")
     df.write.parquet(str(tmp_path / "in"))
-    stream = stream_parquet(few_state_partitions(spark, 2), str(tmp_path / "in"), df.schema)
+    stream = stream_parquet(state_session(spark, 2), str(tmp_path / "in"), df.schema)
     unique = unique_transactions(stream, spread=F.col("offset") if spread else None, ways=4)
     assert unique.columns == df.columns
     finish(
@@ -132,7 +132,7 @@ def test_repeats_are_dropped(spark, tmp_path, spread):
 
 def test_minutes_by_arrival(spark, tmp_path):
     """Rows are counted under the clock of their batch; a later batch closes it."""
-    session = few_state_partitions(spark, 2)
+    session = state_session(spark, 2)
     schema = spark.read.parquet(EVENTS).schema
 
     def run():
@@ -158,7 +158,7 @@ def test_minutes_by_arrival(spark, tmp_path):
 
 
 def test_console_and_named_queries_start(spark, tmp_path):
-    session = few_state_partitions(spark, 2)
+    session = state_session(spark, 2)
     schema = spark.read.parquet(EVENTS).schema
     minutes = minutes_of(classify(wire_rows(stream_parquet(session, EVENTS, schema))))
     finish(start_console(minutes, trigger=ONCE))

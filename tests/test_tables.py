@@ -18,6 +18,7 @@ from cardtide.sources.tables import (
     read_transactions,
     read_with,
     register_views,
+    transaction_rows,
     write_counted,
     write_minutes,
     write_transactions,
@@ -85,14 +86,18 @@ def test_catalog_tables(spark, tmp_path, txns):
     try:
         assert spark.table("cat_t").count() == 0
         assert [f.name for f in spark.table("cat_m").schema] == MINUTE_TABLE.names
-        write_transactions(txns, str(tmp_path / "t"))
-        spark.catalog.refreshTable("cat_t")
+        transaction_rows(txns).write.insertInto("cat_t")
         assert spark.table("cat_t").count() == 48
+        write_transactions(txns.limit(2), str(tmp_path / "t"))
+        spark.catalog.recoverPartitions("cat_t")
+        assert spark.table("cat_t").count() == 50
         add_column(spark, "cat_t", "channel", "string")
-        assert spark.table("cat_t").filter("channel IS NULL").count() == 48
+        assert spark.table("cat_t").filter("channel IS NULL").count() == 50
+        create_tables(spark, str(tmp_path / "t"), str(tmp_path / "m"), "cat_t2", "cat_m2")
+        assert spark.table("cat_t2").count() == 50
     finally:
-        spark.sql("DROP TABLE IF EXISTS cat_t")
-        spark.sql("DROP TABLE IF EXISTS cat_m")
+        for name in ("cat_t", "cat_m", "cat_t2", "cat_m2"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def test_views(spark, tmp_path, txns):
