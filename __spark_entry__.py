@@ -7,6 +7,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -37,6 +38,8 @@ from cardtide.plans.screening import screen, screened_minutes, to_transactions
 from cardtide.scratch import new_folder
 from cardtide.sources.files import stream_parquet
 from cardtide.sources.tables import (
+    drop_days,
+    expired_days,
     read_minutes,
     read_transactions,
     read_with,
@@ -47,6 +50,7 @@ from cardtide.sources.tables import (
 )
 from cardtide.streaming import (
     finish,
+    minutes_by_arrival,
     minutes_of,
     sliding_hour_of,
     start_minutes,
@@ -362,6 +366,17 @@ def added_column(spark, sf_dir):
     return _result(read_with(spark, path, rows.schema))
 
 
+def expire_days(spark, sf_dir):
+    """Store by day, drop the days in which every row has expired, count what is left."""
+    path = new_folder(spark, "transactions")
+    txns = to_transactions(_wire_rows(spark, sf_dir))
+    write_transactions(txns.withColumn("ingest_ts", F.col("txn_time")), path)
+    newest = read_transactions(spark, path).agg(F.max("ingest_ts").cast("timestamp_ntz")).first()[0]
+    drop_days(spark, path, expired_days(spark, path, as_of=newest))
+    left = read_transactions(spark, path).groupBy("txn_date").agg(F.count(F.lit(1)).alias("n_txn"))
+    return left.withColumn("txn_date", F.col("txn_date").cast("string"))
+
+
 SQL_TEXT = """
 SELECT t.merchant, t.status, count(*) AS n_txn, max(m.ttl_txn_min) AS busiest_minute
 FROM transactions t
@@ -416,6 +431,26 @@ def stream_sliding_hour(spark, sf_dir):
     return _result(read_with(spark, path, hours.schema))
 
 
+def stream_by_arrival(spark, sf_dir):
+    """Minutes by the clock of the batch; which minutes those are is left out.
+
+    The memory sink holds one row per minute of running time.
+    """
+    session = state_session(_utc(spark), 8)
+    minutes = minutes_by_arrival(classify(wire_rows(_event_stream(session, sf_dir))))
+    name = f"arrivals_{uuid.uuid4().hex}"
+    finish(
+        minutes.writeStream.format("memory")
+        .queryName(name)
+        .outputMode("complete")
+        .trigger(**ONCE)
+        .start()
+    )
+    return session.table(name).agg(
+        F.sum("ttl_txn_min").alias("ttl_txn"), F.sum("approved_txn_min").alias("approved_txn")
+    )
+
+
 def stream_dedup(spark, sf_dir):
     """Every event sent twice, kept once."""
     path = new_folder(_utc(spark), "unique")
@@ -478,11 +513,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "transactions_table": transactions_table,
         "rows_processed": rows_processed,
         "added_column": added_column,
+        "expire_days": expire_days,
         "sql_view": sql_view,
         "stream_raw": stream_raw,
         "stream_minute_rollup": stream_minute_rollup,
         "stream_chained": stream_chained,
         "stream_sliding_hour": stream_sliding_hour,
+        "stream_by_arrival": stream_by_arrival,
         "stream_dedup": stream_dedup,
     }
 
@@ -725,6 +762,10 @@ WITH {_TXN}
 SELECT txn_id, txn_time, NULL AS date_text FROM txn
 UNION ALL
 SELECT txn_id, txn_time, strftime(txn_time, '%Y%m%d') FROM txn""",
+        "expire_days": f"""
+WITH {_TXN}
+SELECT strftime(txn_time, '%Y-%m-%d') AS txn_date, count(*) AS n_txn FROM txn GROUP BY 1
+HAVING max(txn_time) > (SELECT max(ts) FROM events) - INTERVAL 86400 SECONDS""",
         "sql_view": f"""
 WITH {_COUNTS},
 transactions AS (SELECT * FROM txn),
@@ -749,6 +790,9 @@ carried AS (
   GROUP BY e.minute_ts
 )
 SELECT minute_ts, {_MINUTE_PARTS}, {_HOUR_COUNTS} FROM carried""",
+        "stream_by_arrival": f"""
+WITH {_TXN}
+SELECT count(*) AS ttl_txn, count(*) FILTER (WHERE status = 'APPROVED') AS approved_txn FROM txn""",
         "stream_dedup": """
 SELECT CAST(event_id AS VARCHAR) AS txn_id, ts AS txn_time, event_type AS merchant FROM events""",
     }

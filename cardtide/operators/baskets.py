@@ -42,13 +42,19 @@ def fold_items(
     n_large = large.limit(MAX_BROADCAST_BASKETS + 1).count()
     if n_large == 0:
         return _fold(entries.withColumn("part", F.lit(0)), key)
+    same = F.col(key).eqNullSafe(F.col("_key"))
     if n_large <= MAX_BROADCAST_BASKETS:
         large = F.broadcast(large)
-    same = F.col(key).eqNullSafe(F.col("_key"))
-    small = _fold(entries.join(large, same, "left_anti").withColumn("part", F.lit(0)), key)
-    return small.unionByName(
-        _fold_large(entries.join(large, same).drop("_key"), key, items_per_part)
-    )
+        counted = _count_copies(entries.join(large, same), key, "_parts")
+    else:
+        # Too many to broadcast: copies are counted before rows move to their basket.
+        counted = _count_copies(entries, key).join(large, same)
+    small = entries.join(large, same, "left_anti").withColumn("part", F.lit(0))
+    return _fold(small, key).unionByName(_fold_large(counted, key, items_per_part))
+
+
+def _count_copies(entries: DataFrame, key: str, *more: str) -> DataFrame:
+    return entries.groupBy(key, *more, "_entry").agg(F.count(F.lit(1)).alias("_copies"))
 
 
 def _fold(entries: DataFrame, key: str) -> DataFrame:
@@ -64,13 +70,12 @@ def _fold(entries: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _fold_large(entries: DataFrame, key: str, items_per_part: int) -> DataFrame:
-    """Equal entries are counted before anything moves, then spread over the parts.
+def _fold_large(counted: DataFrame, key: str, items_per_part: int) -> DataFrame:
+    """Spread the distinct entries of large baskets over their parts and list those.
 
     The part of an entry follows from its content, so a task that is run again puts
     it in the same place. More than a part's worth of equal entries is split further.
     """
-    counted = entries.groupBy(key, "_parts", "_entry").agg(F.count(F.lit(1)).alias("_copies"))
     pieces = counted.withColumn(
         "_piece",
         F.explode(F.sequence(F.lit(0), F.ceil(F.col("_copies") / items_per_part) - 1)),
@@ -80,7 +85,7 @@ def _fold_large(entries: DataFrame, key: str, items_per_part: int) -> DataFrame:
     )
     spread = pieces.withColumn(
         "part", F.pmod(F.xxhash64("_entry", "_piece"), F.col("_parts")).cast("int")
-    )
+    ).repartition(key, "part")
     listed = F.sort_array(F.collect_list(F.struct("_entry", "_copies")))
     texts = F.flatten(
         F.transform(

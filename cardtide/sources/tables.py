@@ -48,7 +48,8 @@ def write_transactions(
 
 def write_minutes(minutes: DataFrame, path: str, mode: str = "append") -> None:
     """Write minute rows partitioned by day, one file of at most 1,440 rows for each."""
-    rows = minute_rows(minutes).repartition("minute_date")
+    width = int(minutes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = minute_rows(minutes).repartition(width, "minute_date")
     rows.write.mode(mode).partitionBy("minute_date").parquet(path)
 
 

@@ -2,8 +2,10 @@ import random
 from collections import Counter, defaultdict
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
+from cardtide.operators import baskets
 from cardtide.operators import basket_totals, explode_items, fold_items
 
 
@@ -28,9 +30,12 @@ def test_ties_are_listed_by_name_then_price(spark):
     assert fold(lines).first().items == "a->99.00,b->9.00,b->10.00"
 
 
-def test_large_baskets_come_in_parts_and_stay_whole(spark):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_large_baskets_come_in_parts_and_stay_whole(spark, monkeypatch, broadcast):
     """One basket of a third of all rows, one of copies of a single line, and one
     without a key, beside small ones."""
+    if not broadcast:
+        monkeypatch.setattr(baskets, "MAX_BROADCAST_BASKETS", 0)
     rng = random.Random(3)
     rows = [(1, rng.randrange(9), f"i{rng.randrange(50)}", rng.randrange(500) / 100) for _ in range(900)]
     rows += [(2, 1, "same", 1.25)] * 900

@@ -43,3 +43,17 @@ def test_messages_are_read_once(spark):
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("FileScan") == 1
     assert "ReusedExchange" in final
+
+
+@pytest.mark.parametrize(
+    "name, pushed",
+    [
+        ("retain_day", "GreaterThan(ts,"),
+        ("point_lookup", "(minute_date#"),
+        ("minute_rollup", "ReadSchema: struct<ts:timestamp_ntz,props:string>"),
+        ("chained_totals", "ReadSchema: struct<ts:timestamp_ntz,props:string>"),
+    ],
+)
+def test_scan_reads_only_what_is_needed(spark, name, pushed):
+    df = contract.queries()[name](spark, SF_DIR)
+    assert pushed in df._jdf.queryExecution().executedPlan().toString()
