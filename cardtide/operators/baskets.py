@@ -29,7 +29,8 @@ def fold_items(
     about that size whose items and amounts together are the basket, since one
     text for it would have to be built in one task. ``basket_totals`` adds parts up.
 
-    Baskets are counted first (key column only) to find the large ones.
+    Baskets are counted first (key column only) to find the large ones; up to a million
+    of those are known by name from then on.
     """
     entry = F.struct(*order_by, item.alias("item"), price.cast(MONEY).alias("price"))
     entries = lines.select(key, entry.alias("_entry"))
@@ -39,42 +40,32 @@ def fold_items(
         .filter(F.col("_n") > items_per_part)
         .select("_key", F.ceil(F.col("_n") / items_per_part).alias("_parts"))
     )
-    n_large = large.limit(MAX_BROADCAST_BASKETS + 1).count()
-    if n_large == 0:
-        return _fold(entries.withColumn("part", F.lit(0)), key)
+    head = large.limit(MAX_BROADCAST_BASKETS + 1).toArrow()
+    if head.num_rows == 0:
+        return _fold(entries.repartition(key).withColumn("part", F.lit(0)), key)
     same = F.col(key).eqNullSafe(F.col("_key"))
-    if n_large <= MAX_BROADCAST_BASKETS:
-        large = F.broadcast(large)
+    if head.num_rows <= MAX_BROADCAST_BASKETS:
+        large = F.broadcast(lines.sparkSession.createDataFrame(head, large.schema))
         counted = _count_copies(entries.join(large, same), key, "_parts")
     else:
         # Too many to broadcast: copies are counted before rows move to their basket.
         counted = _count_copies(entries, key).join(large, same)
-    small = entries.join(large, same, "left_anti").withColumn("part", F.lit(0))
-    return _fold(small, key).unionByName(_fold_large(counted, key, items_per_part))
+    small = entries.join(large, same, "left_anti").repartition(key)
+    parted = _spread_over_parts(counted, key, items_per_part)
+    # Two folds, since a union would have to be shuffled again.
+    return _fold(small.withColumn("part", F.lit(0)), key).unionByName(_fold(parted, key))
 
 
 def _count_copies(entries: DataFrame, key: str, *more: str) -> DataFrame:
     return entries.groupBy(key, *more, "_entry").agg(F.count(F.lit(1)).alias("_copies"))
 
 
-def _fold(entries: DataFrame, key: str) -> DataFrame:
-    # Lists do not get smaller by being built before the shuffle, so rows go to their
-    # basket first and are listed there once.
-    texts = F.transform(
-        F.sort_array(F.collect_list("_entry")), lambda e: item_text(e["item"], e["price"])
-    )
-    return entries.repartition(key).groupBy(key, "part").agg(
-        F.array_join(texts, ITEM_SEPARATOR).alias("items"),
-        F.sum("_entry.price").alias("amount"),
-        F.count(F.lit(1)).alias("n_items"),
-    )
-
-
-def _fold_large(counted: DataFrame, key: str, items_per_part: int) -> DataFrame:
-    """Spread the distinct entries of large baskets over their parts and list those.
+def _spread_over_parts(counted: DataFrame, key: str, items_per_part: int) -> DataFrame:
+    """Give each entry of the large baskets its part, and move it there.
 
     The part of an entry follows from its content, so a task that is run again puts
-    it in the same place. More than a part's worth of equal entries is split further.
+    it in the same place. More than a part's worth of equal entries is split further,
+    and copies are only written out again once they have moved.
     """
     pieces = counted.withColumn(
         "_piece",
@@ -83,22 +74,29 @@ def _fold_large(counted: DataFrame, key: str, items_per_part: int) -> DataFrame:
         "_copies",
         F.least(F.lit(items_per_part), F.col("_copies") - F.col("_piece") * items_per_part),
     )
-    spread = pieces.withColumn(
-        "part", F.pmod(F.xxhash64("_entry", "_piece"), F.col("_parts")).cast("int")
+    parts = pieces.select(
+        key,
+        "_entry",
+        "_copies",
+        F.pmod(F.xxhash64("_entry", "_piece"), F.col("_parts")).cast("int").alias("part"),
     ).repartition(key, "part")
-    listed = F.sort_array(F.collect_list(F.struct("_entry", "_copies")))
-    texts = F.flatten(
-        F.transform(
-            listed,
-            lambda e: F.array_repeat(
-                item_text(e["_entry"]["item"], e["_entry"]["price"]), e["_copies"].cast("int")
-            ),
-        )
+    copy = F.explode(F.sequence(F.lit(1), F.col("_copies")))
+    return parts.select(key, "_entry", "part", copy.alias("_copy")).drop("_copy")
+
+
+def _fold(entries: DataFrame, key: str) -> DataFrame:
+    """List each part of each basket.
+
+    Rows have gone to their basket by now: lists do not get smaller by being built
+    before the shuffle.
+    """
+    texts = F.transform(
+        F.sort_array(F.collect_list("_entry")), lambda e: item_text(e["item"], e["price"])
     )
-    return spread.groupBy(key, "part").agg(
+    return entries.groupBy(key, "part").agg(
         F.array_join(texts, ITEM_SEPARATOR).alias("items"),
-        F.sum(F.col("_entry.price") * F.col("_copies")).cast("decimal(28,2)").alias("amount"),
-        F.sum("_copies").alias("n_items"),
+        F.sum("_entry.price").alias("amount"),
+        F.count(F.lit(1)).alias("n_items"),
     )
 
 
