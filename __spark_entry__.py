@@ -59,6 +59,14 @@ from cardtide.streaming import (
     unique_transactions,
 )
 
+try:  # the training-data operators may be left out
+    import corpus_pipeline
+    from cardtide.llm import entries as llm_entries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "cardtide.llm"):
+        raise
+    corpus_pipeline = llm_entries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 ONCE = {"availableNow": True}
 
@@ -482,6 +490,19 @@ def entry(spark: SparkSession) -> DataFrame:
     return chained_wire(spark, SMOKE_DIR)
 
 
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if llm_entries is None:
+        return {}
+    return llm_entries.queries() | {"pipeline": corpus_pipeline.run}
+
+
+def _llm_sql() -> dict[str, str]:
+    if llm_entries is None:
+        return {}
+    own = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return llm_entries.oracle_sql() | own
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "decode_transactions": decode_transactions,
@@ -521,7 +542,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_sliding_hour": stream_sliding_hour,
         "stream_by_arrival": stream_by_arrival,
         "stream_dedup": stream_dedup,
-    }
+    } | _llm_queries()
 
 
 # The transactions that events stand for.
@@ -795,4 +816,4 @@ WITH {_TXN}
 SELECT count(*) AS ttl_txn, count(*) FILTER (WHERE status = 'APPROVED') AS approved_txn FROM txn""",
         "stream_dedup": """
 SELECT CAST(event_id AS VARCHAR) AS txn_id, ts AS txn_time, event_type AS merchant FROM events""",
-    }
+    } | _llm_sql()
