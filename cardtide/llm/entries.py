@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardtide.llm.chats import format_branches, learnt_text, linear_tree, read_back
 from cardtide.llm.common import table
+from cardtide.llm.lines import dedup_lines
 from cardtide.llm.mixing import mix
+from cardtide.llm.ngrams import similar_documents
 from cardtide.llm.packing import pack
 from cardtide.llm.secrets import find_secrets, labelled_strings, span_text, train_markov
 from cardtide.llm.urls import judge_urls, train_url_filter
@@ -49,6 +51,15 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), model, URL_RULES)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs)
+
+
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = find_secrets(docs, train_markov(labelled_strings(docs)))
@@ -100,6 +111,8 @@ def op10_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_url_filter": op3_url_filter,
+        "op4_line_dedup": op4_line_dedup,
+        "op6_ngram_join": op6_ngram_join,
         "op7_secret_scan": op7_secret_scan,
         "op8_chat_format": op8_chat_format,
         "op9_source_mix": op9_source_mix,
@@ -108,7 +121,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat_format": OP8_SQL}
+    return {"op6_ngram_join": OP6_SQL, "op8_chat_format": OP8_SQL}
 
 
 OP8_SQL = """
@@ -128,3 +141,37 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(8 + length(role) + 1 + length(out) + 8) AS BIGINT) AS formatted_chars
 FROM spelt GROUP BY conv_id
 """
+
+OP6_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(w) = 0 THEN []
+         WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' ')) END) AS s
+  FROM words
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_have
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * both_have >= 85 * (a.n + b.n - both_have)
+),
+either AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION
+  SELECT r.x, e.y FROM reach r JOIN either e ON r.y = e.x
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, min(r.y) AS component_id
+FROM documents d JOIN reach r ON r.x = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+GROUP BY ALL
+"""
