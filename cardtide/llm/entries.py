@@ -8,12 +8,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardtide.llm.chats import format_branches, learnt_text, linear_tree, read_back
 from cardtide.llm.common import table
+from cardtide.llm.kmtree import build_index, usable
 from cardtide.llm.lines import dedup_lines
 from cardtide.llm.mixing import mix
+from cardtide.llm.mtree import top_k
 from cardtide.llm.ngrams import similar_documents
 from cardtide.llm.packing import pack
 from cardtide.llm.secrets import find_secrets, labelled_strings, span_text, train_markov
+from cardtide.llm.toxicity import OrdinalModel, grade_texts, train_ordinal
 from cardtide.llm.urls import judge_urls, train_url_filter
+from cardtide.llm.vectors import finite
 
 # The rules that op3 applies.
 URL_RULES = {
@@ -46,6 +50,31 @@ def labelled_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.join(labels, "doc_id").select("url", "block")
 
 
+def toxicity_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity grades of labelled documents: 0 clean, 1 toxic, 2 toxic and of bad quality."""
+    grade = F.when(F.col("toxic") == 1, F.when(F.col("quality") == 0, 2).otherwise(1)).when(
+        F.col("toxic") == 0, 0
+    )
+    return table(spark, sf_dir, "labels").select("doc_id", grade.alias("grade"))
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> OrdinalModel:
+    return train_ordinal(docs, toxicity_grades(spark, sf_dir))
+
+
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").filter(finite(F.col("embedding")))
+    whole = F.transform(F.col("embedding").cast("array<double>"), lambda x: F.floor(x * 1024))
+    rows = rows.select("vec_id", whole.alias("vector"))
+    return top_k(rows, rows.filter(F.col("vec_id") % 100 == 0))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    graded = grade_texts(docs, toxicity_model(spark, docs, sf_dir))
+    return graded.withColumn("toxic", F.col("expected_severity") >= 0.5)
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train_url_filter(labelled_urls(spark, sf_dir))
     return judge_urls(table(spark, sf_dir, "pages"), model, URL_RULES)
@@ -56,6 +85,12 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs)
 
 
+def op5_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").withColumnRenamed("embedding", "vector")
+    index = build_index(rows)
+    return index.search(usable(rows).filter(F.col("vec_id") % 100 == 0))
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents"))
 
@@ -110,8 +145,11 @@ def op10_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_exact_top_k": op1_exact_top_k,
+        "op2_toxicity": op2_toxicity,
         "op3_url_filter": op3_url_filter,
         "op4_line_dedup": op4_line_dedup,
+        "op5_ann_search": op5_ann_search,
         "op6_ngram_join": op6_ngram_join,
         "op7_secret_scan": op7_secret_scan,
         "op8_chat_format": op8_chat_format,
@@ -121,7 +159,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_ngram_join": OP6_SQL, "op8_chat_format": OP8_SQL}
+    return {"op1_exact_top_k": OP1_SQL, "op6_ngram_join": OP6_SQL, "op8_chat_format": OP8_SQL}
 
 
 OP8_SQL = """
@@ -142,6 +180,23 @@ SELECT conv_id, count(*) AS n_turns,
 FROM spelt GROUP BY conv_id
 """
 
+OP1_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 1024)) AS w
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM scored
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 10
+"""
+
 OP6_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(

@@ -379,29 +379,21 @@ def _links(packed: DataFrame, percent: int) -> DataFrame:
     records = stored(counted.groupBy("block").applyInArrow(_records(percent), RECORD), "records")
     postings = stored(
         records.select("doc", "n", "alone", F.posexplode("prefix").alias("at", "shingle")).select(
-            "doc", "n", (F.col("alone") + F.col("at")).alias("place"), "shingle"
+            "doc", "n", "alone", (F.col("alone") + F.col("at")).alias("place"), "shingle"
         ),
         "prefixes",
     )
-    leaders = postings.groupBy("shingle").agg(
-        F.min("doc").alias("leader"), F.max("doc").alias("_last")
-    ).filter(F.col("leader") < F.col("_last"))
-    votes = (
-        postings.join(leaders, "shingle")
-        .filter(F.col("doc") != F.col("leader"))
-        .groupBy("doc", "leader")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("doc")
-        .agg(F.max_by("leader", F.struct("n", "leader")).alias("leader"))
-    )
-    first = stored(
-        _verified(votes.select(F.col("doc").alias("a"), F.col("leader").alias("b")), records, percent),
-        "links",
-    )
-    groups = stored(components(first), "groups")
-    placed = postings.join(small(groups), F.col("doc") == F.col("node"), "left").select(
-        "shingle", "doc", "n", "place", F.coalesce("root", "doc").alias("group")
-    )
+    links, placed = None, postings.withColumn("group", F.col("doc"))
+    # The most central document of a list has the fewest shingles of its own.
+    for central in (F.struct("alone", "doc"), F.struct(-F.col("doc"), "doc")):
+        new = stored(
+            _verified(_led(placed, central), records, percent), "links"
+        )
+        links = new if links is None else links.unionByName(new)
+        groups = small(stored(components(links), "groups"))
+        placed = postings.join(groups, F.col("doc") == F.col("node"), "left").select(
+            "shingle", "doc", "n", "alone", "place", F.coalesce("root", "doc").alias("group")
+        )
     open_lists = (
         placed.groupBy("shingle")
         .agg(F.min("group").alias("low"), F.max("group").alias("high"))
@@ -419,4 +411,23 @@ def _links(packed: DataFrame, percent: int) -> DataFrame:
         .select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
         .distinct()
     )
-    return first.unionByName(_verified(pairs, records, percent))
+    return links.unionByName(_verified(pairs, records, percent))
+
+
+def _led(placed: DataFrame, central) -> DataFrame:
+    """For each document one of the least documents of its lists by ``central``: that which most
+    of its lists have, of those in another group than its own."""
+    first = F.min(F.struct(central.alias("by"), "group")).alias("first")
+    leaders = placed.groupBy("shingle").agg(first)
+    leaders = leaders.select(
+        "shingle", F.col("first.by.doc").alias("leader"), F.col("first.group").alias("led")
+    )
+    return (
+        placed.join(leaders, "shingle")
+        .filter(F.col("group") != F.col("led"))
+        .groupBy("doc", "leader")
+        .agg(F.count(F.lit(1)).alias("lists"))
+        .groupBy("doc")
+        .agg(F.max_by("leader", F.struct("lists", "leader")).alias("leader"))
+        .select(F.col("doc").alias("a"), F.col("leader").alias("b"))
+    )
