@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cardtide.llm.common import stored
-from cardtide.llm.vectors import best, dealt_to_shards, matrices, sample, searched
+from cardtide.llm.vectors import best, dealt_to_shards, finite, matrices, sample, searched
 
 BRANCHES = 8
 LEAF_ROWS = 400
@@ -177,8 +177,6 @@ class AnnIndex:
 
 def usable(df: DataFrame) -> DataFrame:
     """``vec_id, vector`` as doubles, of the rows that have an id and a usable vector."""
-    from cardtide.llm.vectors import finite
-
     rows = df.filter(finite(F.col("vector")) & F.col("vec_id").isNotNull()).select(
         F.col("vec_id").cast("long").alias("vec_id"),
         F.col("vector").cast("array<double>").alias("vector"),

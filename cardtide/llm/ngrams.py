@@ -115,10 +115,12 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(read, "doc_id long, n long, s1 long, s2 long, common long, df long")
 
 
-PACKED = "block long, kind int, range long, hashes binary, owners binary"
+PACKED = "block long, kind int, range long, hashes binary, owners binary, dfs binary"
 
 
-def _postings(docs: DataFrame, width: int, common: np.ndarray, bits: int) -> DataFrame:
+def _postings(
+    docs: DataFrame, width: int, common: tuple[np.ndarray, np.ndarray], bits: int
+) -> DataFrame:
     """Shingles by range of their hash, packed per block of documents.
 
     A row of a real range holds the hashes of a block that fall into it and the number of
@@ -130,12 +132,12 @@ def _postings(docs: DataFrame, width: int, common: np.ndarray, bits: int) -> Dat
     shared = spark.sparkContext.broadcast(common)
     schema = pa.schema(
         [("block", pa.int64()), ("kind", pa.int32()), ("range", pa.int64()), ("hashes", pa.binary()),
-         ("owners", pa.binary())]
+         ("owners", pa.binary()), ("dfs", pa.binary())]
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, number = WordHashes(), TaskContext.get().partitionId() << 32
-        often = shared.value
+        often, times = shared.value
 
         def block(ids: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
             nonlocal number
@@ -143,11 +145,12 @@ def _postings(docs: DataFrame, width: int, common: np.ndarray, bits: int) -> Dat
             every = np.concatenate(sets)
             owner = np.repeat(np.arange(len(sets), dtype=SHORT), sizes)
             number += 1
-            rows = [(1, -number, np.array(ids, np.int64).tobytes(), sizes.tobytes())]
+            rows = [(1, -number, np.array(ids, np.int64).tobytes(), sizes.tobytes(), None)]
             if len(often):
                 at = np.minimum(np.searchsorted(often, every), len(often) - 1)
                 known = often[at] == every
-                rows.append((2, -number, every[known].tobytes(), owner[known].tobytes()))
+                held = (every[known].tobytes(), owner[known].tobytes(), times[at[known]].tobytes())
+                rows.append((2, -number, *held))
                 every, owner = every[~known], owner[~known]
             order = np.argsort(every)
             every, owner = every[order], owner[order]
@@ -158,7 +161,7 @@ def _postings(docs: DataFrame, width: int, common: np.ndarray, bits: int) -> Dat
             for r in range(1 << bits):
                 if cuts[r] < cuts[r + 1]:
                     span = slice(cuts[r], cuts[r + 1])
-                    rows.append((0, r, every[span].tobytes(), owner[span].tobytes()))
+                    rows.append((0, r, every[span].tobytes(), owner[span].tobytes(), None))
             columns = zip(*[(number, *row) for row in rows], strict=True)
             return pa.record_batch(
                 [pa.array(c, kind) for c, kind in zip(columns, schema.types, strict=True)],
@@ -189,7 +192,7 @@ RECORD = "doc long, n long, alone long, shared binary, prefix array<long>"
 def _repeated(key: tuple, part: pa.Table) -> pa.Table:
     """Of one range: the shingles of more than one document, given back to their blocks."""
     if key[0].as_py() < 0:
-        return part.drop_columns("range").append_column("dfs", pa.nulls(len(part), pa.binary()))
+        return part.drop_columns("range")
     blocks = part.column("block").to_pylist()
     hashes = [np.frombuffer(x, LONG) for x in part.column("hashes").to_pylist()]
     owners = [np.frombuffer(x, SHORT) for x in part.column("owners").to_pylist()]
@@ -199,7 +202,7 @@ def _repeated(key: tuple, part: pa.Table) -> pa.Table:
     first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
     runs = np.diff(np.r_[first, len(ordered)])
     df = np.empty(len(every), np.uint32)
-    df[order] = np.repeat(np.minimum(runs, 2**32 - 1), runs)
+    df[order] = np.repeat(np.minimum(runs, 2**31 - 1), runs)
     rows, at = [], 0
     for block, h, o in zip(blocks, hashes, owners, strict=True):
         n, at = df[at : at + len(h)], at + len(h)
@@ -228,13 +231,7 @@ def _records(percent: int):
         hashes = np.concatenate([np.frombuffer(r["hashes"], LONG) for r in rest] or [np.empty(0, LONG)])
         owners = np.concatenate([np.frombuffer(r["owners"], SHORT) for r in rest] or [np.empty(0, SHORT)])
         dfs = np.concatenate(
-            [
-                np.frombuffer(r["dfs"], np.uint32)
-                if r["kind"] == 0
-                else np.full(len(r["owners"]) // 2, 2**32 - 1, np.uint32)
-                for r in rest
-            ]
-            or [np.empty(0, np.uint32)]
+            [np.frombuffer(r["dfs"], np.uint32) for r in rest] or [np.empty(0, np.uint32)]
         )
         order = np.lexsort((hashes, dfs, owners))
         hashes, owners = hashes[order], owners[order]
@@ -298,7 +295,11 @@ def _may_reach(percent: int, left: str, right: str):
     a, b = F.col(f"{left}.n"), F.col(f"{right}.n")
     needed = F.ceil((F.lit(percent) * (a + b)) / F.lit(100 + percent))
     ahead = F.least(a - F.col(f"{left}.place"), b - F.col(f"{right}.place"))
-    before = F.least(F.col(f"{left}.place"), F.col(f"{right}.place"))
+    # Shingles of one document alone come first, and are shared by none.
+    before = F.least(
+        F.col(f"{left}.place") - F.col(f"{left}.alone"),
+        F.col(f"{right}.place") - F.col(f"{right}.alone"),
+    )
     return (
         (F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b))
         & (before + ahead >= needed)
@@ -361,16 +362,33 @@ def similar_documents(
     )
 
 
-def _common(read: DataFrame, n_docs: int) -> np.ndarray:
-    """Shingles in more than one of ``COMMON_SHARE`` documents, sorted."""
+def one_of_each_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The documents without those that link, over any way, to one of a smaller doc_id.
+
+    Columns stay as they are. Rows without a doc_id stay; rows that repeat one stay or go together.
+    """
+    classes = similar_documents(docs, width, percent)
+    gone = classes.filter(F.col("component_id") < F.col("doc_id"))
+    gone = small(stored(gone.select(F.col("doc_id").alias("_gone")).distinct(), "gone"), 1_000_000)
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+
+
+def _common(read: DataFrame, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles in more than one of ``COMMON_SHARE`` documents, sorted, and their counts.
+
+    The counts stand above those of all other shingles.
+    """
     often = (
         read.filter(F.col("common").isNotNull())
         .groupBy("common")
         .agg(F.sum("df").alias("df"))
         .filter(F.col("df") > max(64, n_docs // COMMON_SHARE))
+        .toArrow()
     )
-    found = often.select("common").toArrow().column("common").to_numpy()
-    return np.sort(found.astype(np.int64).view(np.uint64))
+    found = often.column("common").to_numpy().astype(np.int64).view(np.uint64)
+    df = np.minimum(often.column("df").to_numpy().astype(np.int64), 2**31 - 1).astype(np.uint32)
+    order = np.argsort(found)
+    return found[order], df[order] + np.uint32(2**31)
 
 
 def _links(packed: DataFrame, percent: int) -> DataFrame:

@@ -11,7 +11,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-BITS = 18
+from cardtide.llm.common import small, stored
+
+BITS = 22
+MOST_FEATURES = 5000
+LEAST_Z = 4.0
 MEMO_WORDS = 400_000
 STEMS = (4, 5, 6)
 EDGE = ".,;:!?\"'()[]{}<>|*#`~_-"
@@ -78,7 +82,7 @@ def train_ordinal(
     docs: DataFrame,
     grades: DataFrame,
     max_per_grade: int = 2500,
-    rounds: int = 60,
+    rounds: int = 300,
     ridge: float = 1e-3,
     seed: int = 11,
 ) -> OrdinalModel:
@@ -86,9 +90,9 @@ def train_ordinal(
 
     Grades are whole numbers from 0; the highest one seen sets the number of cuts. At most
     ``max_per_grade`` documents of each grade are used, whole texts, and their sparse features
-    (bounded by that and by 2^18 features a text) are fitted on the driver by full-gradient
-    AdaGrad with the proportional-odds loss; classes weigh alike. Without rows of two
-    grades the model expects severity 0 of every text.
+    (bounded by that and by 2^22 features a text) are fitted on the driver by full-gradient
+    AdaGrad with the proportional-odds loss, after features that go with the grades by
+    chance are left out. Without rows of two grades the model expects severity 0 of every text.
     """
     sample = _labelled_sample(docs, grades, max_per_grade, seed)
 
@@ -121,30 +125,44 @@ def fit(
     n, top = len(grade), int(grade.max())
     owner = np.repeat(np.arange(n), [len(i) for i in index])
     column, cell = np.concatenate(index), np.concatenate(value).astype(np.float64)
-    # A feature of one text only says nothing about others.
-    seen = np.bincount(column, minlength=1 << BITS)
-    keep = seen[column] > 2
-    owner, column, cell = owner[keep], column[keep], cell[keep]
-    cell = cell / 4.0
-    share = np.bincount(grade, minlength=top + 1)
-    weigh = (1.0 / np.maximum(share, 1))[grade]
-    weigh /= weigh.sum()
+    chosen = _telling(column, owner, grade)
+    keep = np.isin(column, chosen)
+    owner, column, cell = owner[keep], column[keep], cell[keep] / 4.0
+    column = np.searchsorted(np.sort(chosen), column)
     over = (grade[:, None] > np.arange(top)[None, :]).astype(np.float64)
 
-    w, cuts = np.zeros(1 << BITS), np.linspace(0.5, 1.5, top)
-    sum_w, sum_c = np.full(1 << BITS, 1e-8), np.full(top, 1e-8)
+    w, cuts = np.zeros(len(chosen)), np.linspace(0.5, 1.5, top)
+    sum_w, sum_c = np.full(len(chosen), 1e-8), np.full(top, 1e-8)
     for _ in range(rounds):
         score = np.bincount(owner, cell * w[column], minlength=n)
         p = 1 / (1 + np.exp(-np.clip(score[:, None] - cuts[None, :], -30, 30)))
-        slope = (p - over) * weigh[:, None]
+        slope = (p - over) / n
         by_row = slope.sum(axis=1)
-        grad_w = np.bincount(column, cell * by_row[owner], minlength=1 << BITS) + ridge * w / n
+        grad_w = np.bincount(column, cell * by_row[owner], minlength=len(chosen)) + ridge * w / n
         grad_c = -slope.sum(axis=0)
         sum_w += grad_w**2
         sum_c += grad_c**2
         w -= 0.3 * grad_w / np.sqrt(sum_w)
         cuts = np.maximum.accumulate(cuts - 0.1 * grad_c / np.sqrt(sum_c))
-    return OrdinalModel(w / 4.0, cuts)
+    weights = np.zeros(1 << BITS)
+    weights[np.sort(chosen)] = w / 4.0
+    return OrdinalModel(weights, cuts)
+
+
+def _telling(column: np.ndarray, owner: np.ndarray, grade: np.ndarray) -> np.ndarray:
+    """Features whose presence goes with the grade by more than chance: at most 5,000.
+
+    Of very many features some agree with the grades by accident; a long text would add
+    all of these up.
+    """
+    n, mean, spread = len(grade), grade.mean(), grade.std()
+    seen = np.bincount(column, minlength=1 << BITS).astype(np.float64)
+    sums = np.bincount(column, (grade - mean)[owner], minlength=1 << BITS)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        z = sums / (spread * np.sqrt(seen * (1 - seen / n)))
+    z[~np.isfinite(z) | (seen < 3)] = 0
+    strong = np.flatnonzero(np.abs(z) >= LEAST_Z)
+    return strong[np.argsort(-np.abs(z[strong]), kind="stable")[:MOST_FEATURES]]
 
 
 def grade_texts(docs: DataFrame, model: OrdinalModel) -> DataFrame:
@@ -205,8 +223,6 @@ def drop_toxic(docs: DataFrame, model: OrdinalModel, at: float = 0.5) -> DataFra
 
     Rows without a doc_id cannot be told apart by it and stay. A doc_id is rejected as a whole.
     """
-    from cardtide.llm.common import small, stored
-
     toxic = grade_texts(docs, model).filter(F.col("expected_severity") >= at)
     ids = toxic.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_toxic")).distinct()
     ids = small(stored(ids, "toxic"), 1_000_000)
