@@ -57,8 +57,8 @@ class OrdinalModel:
 
     def above(self, score: np.ndarray) -> np.ndarray:
         """P(grade > k) for each score and each cut."""
-        z = np.clip(score[:, None] - self.cuts[None, :], -500, 500)
-        return 1 / (1 + np.exp(-z))
+        with np.errstate(over="ignore"):
+            return 1 / (1 + np.exp(self.cuts[None, :] - score[:, None]))
 
 
 def _labelled_sample(
