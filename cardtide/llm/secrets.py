@@ -83,8 +83,13 @@ def labelled_strings(docs: DataFrame, max_docs: int = 2000, seed: int = 5) -> Da
     texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
     some = _suspicious(F.col("text"), (*PATTERNS,))
     by_hash = F.xxhash64(F.lit(seed), "doc_id")
-    positive = texts.filter(some).orderBy(by_hash, "doc_id").limit(max_docs)
-    negative = texts.filter(~some).orderBy(by_hash, "doc_id").limit(max_docs)
+
+    def chosen(rows: DataFrame) -> DataFrame:
+        # Only ids are ordered in one task; so few of them may be broadcast.
+        ids = rows.select("doc_id").orderBy(by_hash, "doc_id").limit(max_docs)
+        return rows.join(F.broadcast(ids), "doc_id", "left_semi")
+
+    positive, negative = chosen(texts.filter(some)), chosen(texts.filter(~some))
     found = positive.select(
         F.explode(
             F.concat(
