@@ -122,8 +122,16 @@ def card_number(provider: Column, number: Column) -> Column:
 
 
 def item_text(item: Column, price: Column) -> Column:
-    """``name->1.50``."""
-    return F.concat(item, F.lit(PRICE_ARROW), price.cast(MONEY).cast("string"))
+    """``name->1.50``. A null, or a name that holds one of the separators, raises."""
+    text = F.concat(item, F.lit(PRICE_ARROW), price.cast(MONEY).cast("string"))
+    unclear = F.lit(False)
+    for separator in (WIRE_SEPARATOR, ITEM_SEPARATOR, PRICE_ARROW):
+        unclear = unclear | F.contains(item, F.lit(separator))
+    return (
+        F.when(text.isNull(), F.raise_error(F.lit("item or price is null")))
+        .when(unclear, F.raise_error(F.concat(F.lit("separator in item name: "), item)))
+        .otherwise(text)
+    )
 
 
 def decode_items(items: Column) -> Column:

@@ -9,9 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cardtide.functions.wire import decode_items, item_text
 from cardtide.schemas import ITEM_SEPARATOR, MONEY
 
-ITEMS_PER_PART = 10_000
-MAX_BROADCAST_BASKETS = 1_000_000
-
 
 def fold_items(
     lines: DataFrame,
@@ -19,84 +16,41 @@ def fold_items(
     item: Column,
     price: Column,
     order_by: Sequence[str] = (),
-    items_per_part: int = ITEMS_PER_PART,
 ) -> DataFrame:
-    """One row per basket: ``key, part, items, amount, n_items``.
+    """One row per basket, of any size: ``key, part, items, amount, n_items``.
 
     Items are listed in the order of ``order_by``, then name, then price; amounts
-    add up the printed two-decimal prices exactly. ``part`` is 0 for a basket of up to
-    ``items_per_part`` items. A larger one comes as several rows, numbered parts of
-    about that size whose items and amounts together are the basket, since one
-    text for it would have to be built in one task. ``basket_totals`` adds parts up.
+    add up the printed two-decimal prices exactly. ``part`` is always 0. A null item or
+    price raises, as does a name that holds a separator.
 
-    Baskets are counted first (key column only) to find the large ones; up to a million
-    of those are known by name from then on.
+    Equal entries are counted before rows move. Entries then go to tasks by ranges of
+    (basket, entry), so a large basket is spread over neighbouring tasks; each lists its stretch, and
+    the stretches are joined in order. Batch only, since ranges are cut from the data.
     """
     entry = F.struct(*order_by, item.alias("item"), price.cast(MONEY).alias("price"))
-    entries = lines.select(key, entry.alias("_entry"))
-    large = (
-        lines.groupBy(F.col(key).alias("_key"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > items_per_part)
-        .select("_key", F.ceil(F.col("_n") / items_per_part).alias("_parts"))
+    counted = (
+        lines.select(key, entry.alias("_entry")).groupBy(key, "_entry").agg(F.count(F.lit(1)).alias("_n"))
     )
-    head = large.limit(MAX_BROADCAST_BASKETS + 1).toArrow()
-    if head.num_rows == 0:
-        return _fold(entries.repartition(key).withColumn("part", F.lit(0)), key)
-    same = F.col(key).eqNullSafe(F.col("_key"))
-    if head.num_rows <= MAX_BROADCAST_BASKETS:
-        large = F.broadcast(lines.sparkSession.createDataFrame(head, large.schema))
-        counted = _count_copies(entries.join(large, same), key, "_parts")
-    else:
-        # Too many to broadcast: copies are counted before rows move to their basket.
-        counted = _count_copies(entries, key).join(large, same)
-    small = entries.join(large, same, "left_anti").repartition(key)
-    parted = _spread_over_parts(counted, key, items_per_part)
-    # Two folds, since a union would have to be shuffled again.
-    return _fold(small.withColumn("part", F.lit(0)), key).unionByName(_fold(parted, key))
-
-
-def _count_copies(entries: DataFrame, key: str, *more: str) -> DataFrame:
-    return entries.groupBy(key, *more, "_entry").agg(F.count(F.lit(1)).alias("_copies"))
-
-
-def _spread_over_parts(counted: DataFrame, key: str, items_per_part: int) -> DataFrame:
-    """Give each entry of the large baskets its part, and move it there.
-
-    The part of an entry follows from its content, so a task that is run again puts
-    it in the same place. More than a part's worth of equal entries is split further,
-    and copies are only written out again once they have moved.
-    """
-    pieces = counted.withColumn(
-        "_piece",
-        F.explode(F.sequence(F.lit(0), F.ceil(F.col("_copies") / items_per_part) - 1)),
-    ).withColumn(
-        "_copies",
-        F.least(F.lit(items_per_part), F.col("_copies") - F.col("_piece") * items_per_part),
+    spread = counted.repartitionByRange(F.col(key), F.col("_entry")).select(
+        key, "_entry", "_n", F.spark_partition_id().alias("_stretch")
+    )
+    listed = F.transform(
+        F.sort_array(F.collect_list(F.struct("_entry", "_n"))),
+        lambda e: F.array_repeat(item_text(e["_entry"]["item"], e["_entry"]["price"]), e["_n"].cast("int")),
+    )
+    stretches = spread.groupBy(key, "_stretch").agg(
+        F.array_join(F.flatten(listed), ITEM_SEPARATOR).alias("_text"),
+        F.sum(F.col("_entry.price") * F.col("_n")).alias("_amount"),
+        F.sum("_n").alias("_items"),
     )
-    parts = pieces.select(
-        key,
-        "_entry",
-        "_copies",
-        F.pmod(F.xxhash64("_entry", "_piece"), F.col("_parts")).cast("int").alias("part"),
-    ).repartition(key, "part")
-    copy = F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    return parts.select(key, "_entry", "part", copy.alias("_copy")).drop("_copy")
-
-
-def _fold(entries: DataFrame, key: str) -> DataFrame:
-    """List each part of each basket.
-
-    Rows have gone to their basket by now: lists do not get smaller by being built
-    before the shuffle.
-    """
     texts = F.transform(
-        F.sort_array(F.collect_list("_entry")), lambda e: item_text(e["item"], e["price"])
+        F.sort_array(F.collect_list(F.struct("_stretch", "_text"))), lambda s: s["_text"]
     )
-    return entries.groupBy(key, "part").agg(
+    return stretches.groupBy(key).agg(
+        F.lit(0).alias("part"),
         F.array_join(texts, ITEM_SEPARATOR).alias("items"),
-        F.sum("_entry.price").alias("amount"),
-        F.count(F.lit(1)).alias("n_items"),
+        F.sum("_amount").cast("decimal(28,2)").alias("amount"),
+        F.sum("_items").alias("n_items"),
     )
 
 

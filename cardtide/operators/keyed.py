@@ -36,15 +36,18 @@ def retain(
     session's. The bound is a constant of the column's own type, so it reaches the
     Parquet scan.
     """
-    kind = df.schema[written].dataType
+    return df.filter(F.col(written) > expiry_bound(df.schema[written].dataType, seconds, as_of))
+
+
+def expiry_bound(kind, seconds: int, as_of: dt.datetime | Column | None = None) -> Column:
+    """The time of writing, of type ``kind``, at and before which rows have expired."""
     if as_of is None:
         now = F.current_timestamp()
     elif isinstance(as_of, dt.datetime) and as_of.tzinfo is None:
         now = F.lit(as_of.isoformat(sep=" ")).cast(kind)
     else:
         now = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    bound = (now - F.expr(f"INTERVAL '{int(seconds)}' SECOND")).cast(kind)
-    return df.filter(F.col(written) > bound)
+    return (now - F.expr(f"INTERVAL '{int(seconds)}' SECOND")).cast(kind)
 
 
 def point_lookup(

@@ -17,7 +17,8 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
         return tempfile.mkdtemp(prefix="run-")
     raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 

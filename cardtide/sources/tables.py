@@ -8,7 +8,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from cardtide.operators.keyed import retain
+from cardtide.operators.carry import chained_totals
+from cardtide.operators.keyed import expiry_bound, retain
 from cardtide.schemas import (
     MINUTE,
     MINUTE_TABLE,
@@ -110,10 +111,11 @@ def create_tables(
     ):
         # An empty append makes the folder and adds no file.
         spark.createDataFrame([], schema).write.mode("append").partitionBy(day).parquet(path)
+        location = path.replace("\\", "\\\\").replace("'", "\\'")
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-            f"PARTITIONED BY ({day}) LOCATION '{path}'"
+            f"PARTITIONED BY ({day}) LOCATION '{location}'"
         )
         spark.catalog.recoverPartitions(name)
 
@@ -130,9 +132,12 @@ def register_views(
     transactions: str = "transactions",
     minutes: str = "txn_count_min",
 ) -> None:
-    """Make both stored tables available to ``spark.sql`` under these names."""
+    """Make both stored tables available to ``spark.sql`` under these names.
+
+    The minute view also has the carried totals, which are worked out when it is read.
+    """
     read_transactions(spark, transactions_path).createOrReplaceTempView(transactions)
-    read_minutes(spark, minutes_path).createOrReplaceTempView(minutes)
+    chained_totals(read_minutes(spark, minutes_path)).createOrReplaceTempView(minutes)
 
 
 def expired_days(
@@ -143,16 +148,22 @@ def expired_days(
 ) -> list[dt.date]:
     """Partition days of a transaction table in which every row has expired.
 
-    The newest write of each day decides, so a day that received a late row stays.
-    Only the ``ingest_ts`` column is read; the answer has one entry per day.
+    The newest write of each day decides, so a day that received a late row stays, and so does
+    a day with a row whose time of writing is not known. Only the ``ingest_ts`` column is read;
+    the answer has one entry per day. Rows that arrive for a day after this was asked are not
+    seen: let no writer add to days as old as that before ``drop_days`` has ended.
     """
     newest = (
         read_transactions(spark, path)
         .groupBy("txn_date")
-        .agg(F.max("ingest_ts").alias("ingest_ts"))
+        .agg(
+            F.max("ingest_ts").alias("ingest_ts"),
+            F.count_if(F.col("ingest_ts").isNull()).alias("_unknown"),
+        )
     )
-    fresh = retain(newest, "ingest_ts", seconds, as_of).select("txn_date")
-    gone = newest.join(fresh, "txn_date", "left_anti").orderBy("txn_date")
+    bound = expiry_bound(newest.schema["ingest_ts"].dataType, seconds, as_of)
+    expired = (F.col("_unknown") == 0) & (F.col("ingest_ts") <= bound)
+    gone = newest.filter(expired).orderBy("txn_date")
     return [row.txn_date for row in gone.select("txn_date").toLocalIterator()]
 
 

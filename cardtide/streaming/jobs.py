@@ -122,10 +122,15 @@ def start_minutes(
     checkpoint: str,
     name: str | None = None,
     trigger: dict | None = None,
+    retention: str | None = None,
 ) -> StreamingQuery:
-    """Append closed minutes to their table every minute (or as ``trigger`` says)."""
+    """Append closed minutes to their table every minute (or as ``trigger`` says).
+
+    ``retention`` as in ``start_raw``; it bounds the sink's own list of files.
+    """
     trigger = trigger or {"processingTime": "1 minute"}
-    return _start(minute_rows(minutes), path, checkpoint, "minute_date", name, trigger, None)
+    rows = minute_rows(minutes)
+    return _start(rows, path, checkpoint, "minute_date", name, trigger, retention)
 
 
 def start_console(minutes: DataFrame, trigger: dict | None = None) -> StreamingQuery:
@@ -152,14 +157,17 @@ def start_screening(
     )
     minutes = start_minutes(
         minutes_of(txns, delay), f"{folder}/minutes", f"{folder}/_minutes_checkpoint",
-        trigger=trigger,
+        trigger=trigger, retention=retention,
     )
     return raw, minutes
 
 
-def finish(query: StreamingQuery, timeout: int = 600) -> None:
-    """Wait for a query that ends by itself; raise if it failed or takes too long."""
-    if not query.awaitTermination(timeout):
+def finish(query: StreamingQuery, timeout: int | None = None) -> None:
+    """Wait for a query that ends by itself; raise if it failed, or is given a ``timeout``
+    in seconds and takes longer. By default it may take as long as its input needs."""
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream did not finish in {timeout} s")
 
@@ -169,11 +177,13 @@ def state_session(spark: SparkSession, partitions: int | None = None) -> SparkSe
 
     A stream keeps the number it first ran with. By default that is one per core, as
     suits state by transaction id. A minute stream holds a few open minutes and wants a
-    handful: each further one only adds a commit per batch. The caller's session is
-    left as it is.
+    handful: each further one only adds a commit per batch. The caller's settings, such as its
+    state store, hold in it too; the caller's session is left as it is.
     """
     session = spark.newSession()
-    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    for name, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(name):
+            session.conf.set(name, value)
     width = partitions or spark.sparkContext.defaultParallelism
     session.conf.set("spark.sql.shuffle.partitions", str(width))
     return session

@@ -1,11 +1,10 @@
 import random
-from collections import Counter, defaultdict
+from collections import defaultdict
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from cardtide.operators import baskets
 from cardtide.operators import basket_totals, explode_items, fold_items
 
 
@@ -30,44 +29,29 @@ def test_ties_are_listed_by_name_then_price(spark):
     assert fold(lines).first().items == "a->99.00,b->9.00,b->10.00"
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_large_baskets_come_in_parts_and_stay_whole(spark, monkeypatch, broadcast):
+def test_large_baskets_are_one_ordered_text(spark):
     """One basket of a third of all rows, one of copies of a single line, and one
     without a key, beside small ones."""
-    if not broadcast:
-        monkeypatch.setattr(baskets, "MAX_BROADCAST_BASKETS", 0)
     rng = random.Random(3)
-    rows = [(1, rng.randrange(9), f"i{rng.randrange(50)}", rng.randrange(500) / 100) for _ in range(900)]
-    rows += [(2, 1, "same", 1.25)] * 900
+    rows = [(1, rng.randrange(9), f"i{rng.randrange(50)}", rng.randrange(500) / 100) for _ in range(30_000)]
+    rows += [(2, 1, "same", 1.25)] * 9000
     rows += [(None, 1, f"x{i}", 1.0) for i in range(300)]
     rows += [(b, i, f"i{i}", 0.1) for b in range(10, 300) for i in range(3)]
-    parts = fold(lines_of(spark, rows), items_per_part=100)
-
-    got = defaultdict(Counter)
-    for r in explode_items(parts, ["basket"]).collect():
-        got[r.basket][(r.item, r.price)] += 1
-    want = defaultdict(Counter)
-    for basket, _, item, price in rows:
-        want[basket][(item, Decimal(f"{price:.2f}"))] += 1
-    assert got == want
-
-    by_basket = defaultdict(list)
-    for r in parts.collect():
-        by_basket[r.basket].append(r)
-        assert r.n_items == len(r["items"].split(","))
-    assert len(by_basket[10]) == 1
-    assert len(by_basket[1]) > 5 and len(by_basket[2]) > 3 and len(by_basket[None]) > 1
-    assert len({r.part for r in by_basket[1]}) == len(by_basket[1])
-    assert max(r.n_items for rs in by_basket.values() for r in rs) < 600
-
-    totals = {r.basket: (r.amount, r.n_items) for r in basket_totals(parts, "basket").collect()}
-    assert totals[2] == (Decimal("1125.00"), 900)
-    assert totals[1][1] == 900 and totals[None] == (Decimal("300.00"), 300)
-
-
-def test_parts_have_the_plain_columns(spark):
-    lines = lines_of(spark, [(1, i, "a", 1.0) for i in range(30)] + [(2, 1, "a", 1.0)])
-    assert fold(lines, items_per_part=10).dtypes == fold(lines).dtypes
+    got = {r.basket: r for r in fold(lines_of(spark, rows)).collect()}
+    want = defaultdict(list)
+    for basket, n, item, price in rows:
+        want[basket].append((n, item, Decimal(f"{price:.2f}")))
+    assert got.keys() == want.keys()
+    for basket, entries in want.items():
+        row = got[basket]
+        assert row["items"] == ",".join(f"{i}->{p}" for _, i, p in sorted(entries))
+        assert (row.part, row.n_items, row.amount) == (0, len(entries), sum(p for _, _, p in entries))
+
+
+@pytest.mark.parametrize("item, price", [(None, 1.0), ("a", None), ("a->b", 1.0), ("a,b", 1.0), ("a;b", 1.0)])
+def test_unclear_items_raise(spark, item, price):
+    with pytest.raises(Exception, match="item"):
+        fold(lines_of(spark, [(1, 1, item, price), (1, 2, "x", 2.0)])).collect()
 
 
 def test_prices_add_up_exactly(spark):

@@ -187,3 +187,14 @@ def test_finish_reports_a_failed_stream(spark, tmp_path):
     txns = screen(stream_text(spark, str(tmp_path / "in")))
     with pytest.raises(Exception, match="bad "):
         finish(start_raw(txns, str(tmp_path / "out"), str(tmp_path / "cp"), trigger=ONCE))
+
+
+def test_state_session_keeps_settings(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    kept = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(name)
+    spark.conf.set(name, kept)
+    try:
+        assert state_session(spark, 3).conf.get(name) == kept
+    finally:
+        spark.conf.set(name, before)

@@ -145,3 +145,15 @@ def test_topic_options():
 def test_topic_message_text(spark):
     raw = spark.createDataFrame([(b"k", b"a;b")], "key binary, value binary")
     assert kafka.message_text(raw).first().asDict() == {"value": "a;b"}
+
+
+def test_rows_of_unknown_age_are_not_expired(spark, tmp_path):
+    rows = spark.sql(
+        "SELECT timestamp'2024-01-01 10:00:00' AS ingest_ts, date'2024-01-01' AS txn_date "
+        "UNION ALL SELECT CAST(NULL AS timestamp), date'2024-01-02' "
+        "UNION ALL SELECT timestamp'2024-01-01 10:00:00', date'2024-01-02'"
+    )
+    rows.write.partitionBy("txn_date").parquet(f"{tmp_path}/t")
+    gone = expired_days(spark, f"{tmp_path}/t", as_of=dt.datetime(2024, 1, 2, 10))
+    assert gone == [dt.date(2024, 1, 1)]
+    assert expired_days(spark, f"{tmp_path}/t", as_of=dt.datetime(2024, 1, 2, 9, 59, 59)) == []
