@@ -333,7 +333,7 @@ def test_secrets(spark):
         f"see {token(40)} here, internationalisation_of_identifiers as well",
         *AWKWARD,
     ]
-    docs = docs_of(spark, texts + [f"token={token(24)} plain words in_some_identifiers {i}" for i in range(40)] + [" ".join(words_of(rng, 30)) + " internationalisation_of_everything" for _ in range(40)])
+    docs = docs_of(spark, texts + [f"token={token(24)} plain words in_some_identifiers {i}" for i in range(400)] + [" ".join(words_of(rng, 30)) + " internationalisation_of_everything" for _ in range(40)])
     ratio = secrets.train_markov(secrets.labelled_strings(docs))
     got = secrets.find_secrets(docs, ratio).orderBy("doc_id").collect()
     assert len(got) == docs.count()
