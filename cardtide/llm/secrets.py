@@ -136,7 +136,7 @@ def rows_of_none() -> Column:
     )
 
 
-def find_secrets(docs: DataFrame, ratio: Sequence[float], threshold: float = 1.0) -> DataFrame:
+def find_secrets(docs: DataFrame, ratio: Sequence[float], threshold: float = 0.25) -> DataFrame:
     """Spans of secrets of each document: ``doc_id, spans``.
 
     ``spans`` is an array of ``(start, kind, end)`` in code points, end exclusive, by
