@@ -99,10 +99,12 @@ def format_branches(messages: DataFrame, branches: int = 1) -> DataFrame:
     leaves = nodes.join(has_reply, "id", "left_anti")
     path = leaves.select(F.col("id").alias("leaf"), "id", F.lit(0).cast("long").alias("back"))
     for power in reversed(range(len(jumps))):
-        step = path.join(jumps[power], "id").select(
-            "leaf", F.col("up").alias("id"), (F.col("back") + (1 << power)).alias("back")
-        )
-        path = path.unionByName(step)
+        # One row stays and one goes up: an explode, so that the path so far is read once.
+        here = F.struct("id", "back")
+        above = F.struct(F.col("up").alias("id"), (F.col("back") + (1 << power)).alias("back"))
+        step = F.when(F.col("up").isNull(), F.array(here)).otherwise(F.array(here, above))
+        path = path.join(jumps[power], "id", "left").select("leaf", F.explode(step).alias("s"))
+        path = path.select("leaf", "s.id", "s.back")
     path = stored(path, "paths")
 
     scores = (
