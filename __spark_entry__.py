@@ -7,7 +7,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -34,7 +33,7 @@ from cardtide.operators import (
     with_previous,
 )
 from cardtide.plans.events import wire_rows
-from cardtide.plans.screening import screen, screened_minutes, to_transactions
+from cardtide.plans.screening import screen, screened_minutes, to_transactions, unreadable
 from cardtide.scratch import new_folder
 from cardtide.sources.files import stream_parquet
 from cardtide.sources.tables import (
@@ -50,11 +49,11 @@ from cardtide.sources.tables import (
 )
 from cardtide.streaming import (
     finish,
-    minutes_by_arrival,
     minutes_of,
     sliding_hour_of,
     start_minutes,
     start_raw,
+    start_screening,
     state_session,
     unique_transactions,
 )
@@ -142,10 +141,10 @@ def encode_messages(spark, sf_dir):
     return _messages(spark, sf_dir)
 
 
-def quarantine_split(spark, sf_dir):
-    """Damage messages in four ways, decode them all, and say what became of each."""
+def _damaged(rows: DataFrame) -> DataFrame:
+    """Messages of wire rows, some of them damaged in four ways."""
     kind = F.col("txn_id").cast("bigint") % 7
-    sent = encode_wire(_wire_rows(spark, sf_dir), keep=["txn_id"])
+    sent = encode_wire(rows, keep=["txn_id"])
     fields = F.split("value", schemas.WIRE_SEPARATOR)
 
     def with_field(position: int, text: str) -> Column:
@@ -154,7 +153,7 @@ def quarantine_split(spark, sf_dir):
             F.transform(fields, lambda x, i: F.when(i == position, F.lit(text)).otherwise(x)),
         )
 
-    damaged = sent.select(
+    return sent.select(
         F.col("txn_id").alias("sent_id"),
         F.when(kind == 0, F.concat_ws(schemas.WIRE_SEPARATOR, F.slice(fields, 1, 9)))
         .when(kind == 1, with_field(9, "abc"))
@@ -163,6 +162,11 @@ def quarantine_split(spark, sf_dir):
         .otherwise(F.col("value"))
         .alias("value"),
     )
+
+
+def quarantine_split(spark, sf_dir):
+    """Decode damaged messages, and say what became of each."""
+    damaged = _damaged(_wire_rows(spark, sf_dir))
     decoded = decode_wire(damaged, on_error="quarantine", keep=["sent_id"])
     return decoded.select(
         "sent_id", "problem", F.col("score").cast("string").alias("score"), "merchant"
@@ -292,6 +296,15 @@ def retain_day(spark, sf_dir):
     return kept.select("event_id", "ts", "event_type")
 
 
+def minutes_written_twice(spark, sf_dir):
+    """Minute rows written with other counts first: the later ones are read and chained."""
+    path = new_folder(_utc(spark), "minutes")
+    minutes = _minutes(spark, sf_dir)
+    write_minutes(minutes.withColumn("ttl_txn_min", F.col("ttl_txn_min") + 1), path)
+    write_minutes(minutes, path)
+    return _result(chained_totals(read_minutes(spark, path)).drop("minute_date"))
+
+
 def point_lookup_query(spark, sf_dir):
     """The last minute's row, by its five-part key, from the stored table."""
     stored = _stored_minutes(spark, sf_dir)
@@ -457,23 +470,32 @@ def stream_sliding_hour(spark, sf_dir):
 
 
 def stream_by_arrival(spark, sf_dir):
-    """Minutes by the clock of the batch; which minutes those are is left out.
+    """Minutes by the clock of the batch, as stored rows carry it; which minutes those are is
+    left out."""
+    path = new_folder(_utc(spark), "transactions")
+    txns = to_transactions(wire_rows(_event_stream(spark, sf_dir)))
+    finish(start_raw(txns, path, f"{path}_checkpoint", trigger=ONCE))
+    return minute_rollup(read_transactions(spark, path), time="ingest_ts").agg(
+        F.sum("ttl_txn_min").alias("ttl_txn"), F.sum("approved_txn_min").alias("approved_txn")
+    )
 
-    The memory sink holds one row per minute of running time.
-    """
-    session = state_session(_utc(spark), 8)
-    minutes = minutes_by_arrival(classify(wire_rows(_event_stream(session, sf_dir))))
-    name = f"arrivals_{uuid.uuid4().hex}"
-    finish(
-        minutes.writeStream.format("memory")
-        .queryName(name)
-        .outputMode("complete")
-        .trigger(**ONCE)
-        .start()
+
+def stream_quarantine(spark, sf_dir):
+    """All outputs of one stream with damaged messages: which were stored, which set aside."""
+    folder = new_folder(_utc(spark), "screening")
+    sent = _damaged(wire_rows(_event_stream(state_session(spark, 8), sf_dir)))
+    good = screen(sent, on_error="quarantine")
+    for query in start_screening(good, folder, trigger=ONCE, bad=unreadable(sent)):
+        finish(query)
+    kept = read_transactions(spark, f"{folder}/transactions").select(
+        F.col("txn_id").alias("sent_id"), "status", F.lit(None).cast("string").alias("problem")
     )
-    return session.table(name).agg(
-        F.sum("ttl_txn_min").alias("ttl_txn"), F.sum("approved_txn_min").alias("approved_txn")
+    aside = read_with(spark, f"{folder}/bad_messages", unreadable(sent).schema).select(
+        F.split("value", schemas.WIRE_SEPARATOR)[3].alias("sent_id"),
+        F.lit(None).cast("string").alias("status"),
+        "problem",
     )
+    return kept.unionByName(aside)
 
 
 def stream_dedup(spark, sf_dir):
@@ -544,6 +566,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_per_key_compat": latest_per_key_compat,
         "latest_per_transaction": latest_per_transaction,
         "retain_day": retain_day,
+        "minutes_written_twice": minutes_written_twice,
         "point_lookup": point_lookup_query,
         "assign_weighted": assign_weighted_query,
         "assign_weighted_pair": assign_weighted_pair,
@@ -559,6 +582,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_chained": stream_chained,
         "stream_sliding_hour": stream_sliding_hour,
         "stream_by_arrival": stream_by_arrival,
+        "stream_quarantine": stream_quarantine,
         "stream_dedup": stream_dedup,
     } | _llm_queries()
 
@@ -765,6 +789,7 @@ SELECT c.minute_ts, c.ttl AS ttl_txn_min,
 FROM counts c LEFT JOIN carried p ON p.minute_ts = c.minute_ts - INTERVAL 1 MINUTE""",
         "chained_totals": chained_sql,
         "chained_totals_wire": chained_sql,
+        "minutes_written_twice": chained_sql,
         "filled_minutes": f"WITH {_SPINE} SELECT {_MINUTE_COLUMNS} FROM filled",
         "chained_totals_spine": f"WITH {_SPINE}{_chain('filled')} {_FULL_ROW}",
         "sliding_hour": f"WITH {_COUNTS}{_slide('counts')} {_FULL_ROW}",
@@ -836,6 +861,14 @@ SELECT minute_ts, {_MINUTE_PARTS}, {_HOUR_COUNTS} FROM carried""",
         "stream_by_arrival": f"""
 WITH {_TXN}
 SELECT count(*) AS ttl_txn, count(*) FILTER (WHERE status = 'APPROVED') AS approved_txn FROM txn""",
+        "stream_quarantine": f"""
+WITH {_TXN}, told AS (
+  SELECT *, CASE CAST(txn_id AS BIGINT) % 7
+                 WHEN 0 THEN 'too few fields' WHEN 1 THEN 'bad score'
+                 WHEN 2 THEN 'bad amount' WHEN 3 THEN 'bad txn_time' END AS problem
+  FROM txn
+)
+SELECT txn_id AS sent_id, CASE WHEN problem IS NULL THEN status END AS status, problem FROM told""",
         "stream_dedup": """
 SELECT CAST(event_id AS VARCHAR) AS txn_id, ts AS txn_time, event_type AS merchant FROM events""",
     } | _llm_sql()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cardtide.functions.calendar import calendar_parts, date_text
 from cardtide.functions.rules import Rule, classify
-from cardtide.functions.wire import decode_wire
+from cardtide.functions.wire import bad_rows, decode_wire, good_rows
 from cardtide.operators.carry import chained_totals
 from cardtide.operators.minutes import minute_rollup
 from cardtide.schemas import REJECT_BELOW
@@ -47,9 +47,22 @@ def screen(
     calendar: str = "iso",
     rules: Sequence[Rule] | None = None,
     reject_below: int = REJECT_BELOW,
+    on_error: str = "fail",
 ) -> DataFrame:
-    """Wire messages to transactions, batch or stream; a bad message raises."""
-    return to_transactions(decode_wire(messages), calendar, rules, reject_below)
+    """Wire messages to transactions, batch or stream.
+
+    A bad message raises, or with ``on_error="quarantine"`` is left out here and
+    given out by ``unreadable``.
+    """
+    decoded = decode_wire(messages, on_error)
+    if on_error == "quarantine":
+        decoded = good_rows(decoded)
+    return to_transactions(decoded, calendar, rules, reject_below)
+
+
+def unreadable(messages: DataFrame) -> DataFrame:
+    """The messages that ``screen`` leaves out under quarantine: ``value, problem``."""
+    return bad_rows(decode_wire(messages, "quarantine"))
 
 
 def screened_minutes(messages: DataFrame, calendar: str = "iso", label: str = "start") -> DataFrame:

@@ -86,4 +86,10 @@ TRANSACTION_TABLE = T.StructType(
         T.StructField("txn_date", T.DateType()),
     ]
 )
-MINUTE_TABLE = T.StructType(MINUTE.fields + [T.StructField("minute_date", T.DateType())])
+MINUTE_TABLE = T.StructType(
+    MINUTE.fields
+    + [
+        T.StructField("ingest_ts", T.TimestampType()),
+        T.StructField("minute_date", T.DateType()),
+    ]
+)

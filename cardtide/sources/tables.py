@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from cardtide.operators.carry import chained_totals
-from cardtide.operators.keyed import expiry_bound, retain
+from cardtide.operators.keyed import expiry_bound, latest_per_key, retain
 from cardtide.schemas import (
     MINUTE,
     MINUTE_TABLE,
@@ -28,8 +28,11 @@ def transaction_rows(txns: DataFrame) -> DataFrame:
 
 
 def minute_rows(minutes: DataFrame) -> DataFrame:
-    """Stored form of minute rows, with the partition day."""
-    return minutes.select(*MINUTE.names, F.to_date("minute_ts").alias("minute_date"))
+    """Stored form of minute rows, with the time of writing and the partition day."""
+    ingest = F.col("ingest_ts") if "ingest_ts" in minutes.columns else F.current_timestamp()
+    return minutes.select(
+        *MINUTE.names, ingest.alias("ingest_ts"), F.to_date("minute_ts").alias("minute_date")
+    )
 
 
 def write_transactions(
@@ -66,7 +69,16 @@ def read_transactions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_minutes(spark: SparkSession, path: str) -> DataFrame:
-    return read_with(spark, path, MINUTE_TABLE)
+    """Stored minutes, of each the row written last, so that a minute written again replaces
+    its earlier row. Rows of unknown time of writing are the oldest.
+
+    The partition day and the calendar parts are part of the key, which they follow from, so
+    that filters on them reach the scan.
+    """
+    kept = ["ttl_txn_min", "approved_txn_min", "approved_rate_min", "ingest_ts"]
+    stored = read_with(spark, path, MINUTE_TABLE)
+    keys = [c for c in stored.columns if c not in kept]
+    return latest_per_key(stored, keys, ["ingest_ts"]).drop("ingest_ts")
 
 
 def read_with(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

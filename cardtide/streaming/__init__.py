@@ -5,6 +5,7 @@ from cardtide.streaming.jobs import (
     minutes_by_arrival,
     minutes_of,
     sliding_hour_of,
+    start_bad_messages,
     start_console,
     start_minutes,
     start_raw,
@@ -18,6 +19,7 @@ __all__ = [
     "minutes_by_arrival",
     "minutes_of",
     "sliding_hour_of",
+    "start_bad_messages",
     "start_console",
     "start_minutes",
     "start_raw",

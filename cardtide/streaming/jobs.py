@@ -133,6 +133,23 @@ def start_minutes(
     return _start(rows, path, checkpoint, "minute_date", name, trigger, retention)
 
 
+def start_bad_messages(
+    bad: DataFrame,
+    path: str,
+    checkpoint: str,
+    name: str | None = None,
+    trigger: dict | None = None,
+    retention: str | None = None,
+) -> StreamingQuery:
+    """Append messages set aside (``value, problem``) to a table by day of writing."""
+    trigger = trigger or {"processingTime": "1 second"}
+    now = F.current_timestamp()
+    rows = bad.select(
+        "value", "problem", now.alias("ingest_ts"), F.to_date(now).alias("ingest_date")
+    )
+    return _start(rows, path, checkpoint, "ingest_date", name, trigger, retention)
+
+
 def start_console(minutes: DataFrame, trigger: dict | None = None) -> StreamingQuery:
     """Print minute rows as they close."""
     trigger = trigger or {"processingTime": "1 minute"}
@@ -145,11 +162,14 @@ def start_screening(
     delay: str = "1 minute",
     trigger: dict | None = None,
     retention: str | None = None,
-) -> tuple[StreamingQuery, StreamingQuery]:
+    bad: DataFrame | None = None,
+) -> tuple[StreamingQuery, ...]:
     """Both outputs of one source: raw transactions and minute rows.
 
     Below ``folder``: ``transactions``, ``minutes`` and a checkpoint for each. Started
-    again on the same folder, both go on where they stopped.
+    again on the same folder, both go on where they stopped. With ``bad`` (``unreadable`` of the
+    messages that ``txns`` screens under quarantine) a third query keeps those in
+    ``bad_messages``, and one bad message stops nothing.
     """
     raw = start_raw(
         txns, f"{folder}/transactions", f"{folder}/_raw_checkpoint",
@@ -159,7 +179,13 @@ def start_screening(
         minutes_of(txns, delay), f"{folder}/minutes", f"{folder}/_minutes_checkpoint",
         trigger=trigger, retention=retention,
     )
-    return raw, minutes
+    if bad is None:
+        return raw, minutes
+    aside = start_bad_messages(
+        bad, f"{folder}/bad_messages", f"{folder}/_bad_checkpoint",
+        trigger=trigger, retention=retention,
+    )
+    return raw, minutes, aside
 
 
 def finish(query: StreamingQuery, timeout: int | None = None) -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cardtide.functions import classify, encode_wire
 from cardtide.operators import chained_totals, minute_rollup, sliding_hour
 from cardtide.plans.events import wire_rows
-from cardtide.plans.screening import screen
+from cardtide.plans.screening import screen, unreadable
 from cardtide.schemas import TRANSACTION
 from cardtide.sources.files import stream_parquet, stream_text
 from cardtide.sources.tables import drop_days, read_minutes, read_transactions, read_with
@@ -87,6 +87,23 @@ def test_both_outputs_go_on_after_a_restart(spark, tmp_path, messages):
         drop_days(spark, str(tmp_path / "out" / "transactions"), [])
 
 
+def test_bad_messages_stop_nothing(spark, tmp_path, messages):
+    source, out = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    texts = [m[2] for m in messages]
+    texts[1] = "no message at all\n" + texts[1]
+    for i, text in enumerate(texts):
+        (source / f"{i}.txt").write_text(text)
+        sent = stream_text(state_session(spark, 2), str(source))
+        txns = screen(sent, on_error="quarantine")
+        for query in start_screening(txns, str(out), trigger=ONCE, bad=unreadable(sent)):
+            finish(query)
+    n = sum(text.count("\n") for text in texts) - 1
+    assert read_transactions(spark, str(out / "transactions")).count() == n
+    (bad,) = spark.read.parquet(str(out / "bad_messages")).collect()
+    assert (bad.value, bad.problem) == ("no message at all", "too few fields")
+
+
 def test_sliding_hour_stream_equals_batch(spark, tmp_path):
     session = state_session(spark, 2)
     stream = stream_parquet(session, EVENTS, spark.read.parquet(EVENTS).schema)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cardtide.operators import chained_totals, minute_rollup, point_lookup
 from cardtide.plans.screening import screen
-from cardtide.schemas import MINUTE_TABLE, TRANSACTION, TRANSACTION_TABLE
+from cardtide.schemas import MINUTE, MINUTE_TABLE, TRANSACTION, TRANSACTION_TABLE
 from cardtide.sources import kafka
 from cardtide.sources.tables import (
     add_column,
@@ -55,7 +55,7 @@ def test_minutes_round_trip_and_pruned_lookup(spark, tmp_path, txns):
     path = str(tmp_path / "m")
     write_minutes(minute_rollup(txns), path)
     stored = read_minutes(spark, path)
-    assert stored.schema == MINUTE_TABLE
+    assert stored.columns == [*MINUTE.names, "minute_date"]
     assert chained_totals(stored).count() == 48
     found = point_lookup(stored, 2024, 3, 2, 4, 0)
     assert found.first().minute_ts == dt.datetime(2024, 3, 2, 4)
@@ -64,6 +64,18 @@ def test_minutes_round_trip_and_pruned_lookup(spark, tmp_path, txns):
     assert "PushedFilters: [IsNotNull(year)" in plan
 
 
+def test_minute_written_again_replaces_its_row(spark, tmp_path, txns):
+    path = str(tmp_path / "m")
+    minutes = minute_rollup(txns)
+    late, early = (F.lit(t).cast("timestamp") for t in ("2024-06-02", "2024-06-01"))
+    write_minutes(minutes.withColumn("ingest_ts", late), path)
+    wrong = minutes.withColumn("ttl_txn_min", F.lit(99).cast("long"))
+    write_minutes(wrong.withColumn("ingest_ts", early), path)
+    write_minutes(wrong.withColumn("ingest_ts", F.lit(None).cast("timestamp")), path)
+    stored = read_minutes(spark, path).drop("minute_date")
+    assert sorted(stored.collect()) == sorted(minutes.collect())
+
+
 def test_compat_lookup_names_the_right_day(spark, tmp_path, txns):
     path = str(tmp_path / "m")
     write_minutes(minute_rollup(txns, calendar="compat"), path)
