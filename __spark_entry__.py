@@ -355,10 +355,22 @@ def assign_weighted_pair(spark, sf_dir):
 def assign_weighted_sliced(spark, sf_dir):
     """The way taken for bounds too many to broadcast."""
     return assign_weighted(
-        _numbered(spark, sf_dir), _shares(spark, sf_dir), max_broadcast=0
+        _numbered(spark, sf_dir), _shares(spark, sf_dir), max_broadcast_bytes=0
     )
 
 
+def assign_by_counts(spark, sf_dir):
+    """Customers dealt out by running counts of orders: many bounds, far from [0, 1)."""
+    orders = _table(_utc(spark), sf_dir, "orders")
+    customer = _table(spark, sf_dir, "customer").select("c_custkey")
+    bounds = orders.select(
+        (F.col("o_orderkey") * 3).cast("double").alias("cum"),
+        F.col("o_orderkey").cast("string").alias("label"),
+    )
+    numbers = customer.withColumn("u", (F.col("c_custkey") * 37 + 0.5).cast("double"))
+    return assign_weighted(numbers, bounds)
+
+
 # Tables and SQL ------------------------------------------------------------------------
 
 
@@ -571,6 +583,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "assign_weighted": assign_weighted_query,
         "assign_weighted_pair": assign_weighted_pair,
         "assign_weighted_sliced": assign_weighted_sliced,
+        "assign_by_counts": assign_by_counts,
         "transactions_table": transactions_table,
         "rows_processed": rows_processed,
         "added_column": added_column,
@@ -818,6 +831,16 @@ low AS (SELECT * FROM shares WHERE cum <= 0.9)
 SELECT c_custkey, u, coalesce(label, 'All Other') AS label, coalesce(region, '') AS region
 FROM numbered ASOF LEFT JOIN low ON u <= cum""",
         "assign_weighted_sliced": _ASSIGN,
+        "assign_by_counts": """
+WITH numbered AS (
+  SELECT c_custkey, CAST(c_custkey * 37 + 0.5 AS DOUBLE) AS u FROM customer
+),
+bounds AS (
+  SELECT CAST(o_orderkey * 3 AS DOUBLE) AS cum, max(CAST(o_orderkey AS VARCHAR)) AS label
+  FROM orders GROUP BY ALL
+)
+SELECT c_custkey, u, coalesce(label, 'All Other') AS label
+FROM numbered ASOF LEFT JOIN bounds ON u <= cum""",
         "transactions_table": f"""
 WITH {_TXN} SELECT {_TXN_COLUMNS}, strftime(txn_time, '%Y-%m-%d') AS txn_date FROM txn""",
         "rows_processed": "SELECT count(*) AS stored, count(*) AS processed FROM events",

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-SLOTS = 1024
-MAX_BROADCAST_BOUNDS = 100_000
+# One bound in so many, on average, is a cut; one cut in so many is a cut of the next level.
+FANOUT = 32
+MAX_BROADCAST_BYTES = 16 << 20
 # Fixed value: the label of a number above every bound.
 NO_LABEL = "All Other"
 
@@ -18,19 +19,20 @@ def assign_weighted(
     u: str = "u",
     cum: str = "cum",
     labels: Mapping[str, str] | None = None,
-    max_broadcast: int = MAX_BROADCAST_BOUNDS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add the label columns of the smallest ``cum`` that is >= ``u``.
 
     ``labels`` maps each label column of ``bounds`` to the value that rows above
     every bound (or with a null ``u``) get; by default ``{"label": "All Other"}``.
-    A bound given twice keeps the greatest of its labels.
-
-    The bounds are read first, once. Up to ``max_broadcast`` of them are cut at the
-    edges of 1,024 equal slots and broadcast as a hash table on the slot, so a row is
-    compared with the few bounds of its slot and ``df`` is not shuffled; a stream
-    keeps the bounds it started with. If there are more, the distinct numbers are merged
-    with the bounds slice by slice, see ``_labels_by_slice`` (batch only).
+    A bound given twice keeps the greatest of its labels. ``df`` may be a stream.
+
+    The bounds are cut at values of their own, chosen by hash, and the cuts again, level by
+    level, until fewer than 64 or so are left. A row goes down the levels by hash joins
+    on the cut above its number and meets some 32 values at each, whatever the range
+    and number of the bounds. Bounds of up to ``max_broadcast_bytes`` are read once and
+    broadcast, so ``df`` is not shuffled; larger ones stay distributed and are joined as Spark
+    sees fit, and must not change while a stream runs.
     """
     labels = dict(labels or {"label": NO_LABEL})
     fetched = F.struct(*[F.col(name).alias(name) for name in labels])
@@ -39,12 +41,14 @@ def assign_weighted(
         .groupBy(F.col(cum).cast("double").alias("_hi"))
         .agg(F.max(fetched).alias("_label"))
     )
-    head = steps.limit(max_broadcast + 1).toArrow()
-    if head.num_rows <= max_broadcast:
-        known = df.sparkSession.createDataFrame(head, steps.schema)
-        found = _broadcast_join(df, known, F.col(u).cast("double"))
-    else:
-        found = _sliced_join(df, steps, F.col(u).cast("double"))
+    n, n_bytes = steps.agg(
+        F.count(F.lit(1)),
+        F.coalesce(F.sum(F.octet_length(F.to_json("_label")) + 16), F.lit(0)),
+    ).first()
+    few = n_bytes <= max_broadcast_bytes
+    if few:
+        steps = df.sparkSession.createDataFrame(steps.toArrow(), steps.schema)
+    found = _descended(df.withColumn("_u", F.col(u).cast("double")), steps, n, few)
     return found.select(
         *[F.col(c) for c in df.columns],
         *[
@@ -56,72 +60,43 @@ def assign_weighted(
     )
 
 
-def _slot(number: Column) -> Column:
-    """Slot of a number; never falls as the number rises, also outside [0, 1)."""
-    inside = F.least(F.greatest(number, F.lit(0.0)), F.lit(1.0))
-    return F.least(F.floor(inside * SLOTS).cast("int"), F.lit(SLOTS - 1))
-
-
-def _broadcast_join(df: DataFrame, steps: DataFrame, u: Column) -> DataFrame:
-    # The one window without a partition is over the bounds, which are known to be few.
-    ranges = steps.withColumn("_lo", F.lag("_hi").over(Window.orderBy("_hi")))
-    first = F.when(F.col("_lo").isNull(), F.lit(0)).otherwise(_slot(F.col("_lo")))
-    ranges = ranges.withColumn("_slot", F.explode(F.sequence(first, _slot(F.col("_hi")))))
-    rows = df.withColumn("_u", u).withColumn("_u_slot", _slot(F.col("_u")))
-    within = (
-        (F.col("_u_slot") == F.col("_slot"))
-        & (F.col("_lo").isNull() | (F.col("_u") > F.col("_lo")))
-        & (F.col("_u") <= F.col("_hi"))
-    )
-    return rows.join(F.broadcast(ranges), within, "left")
-
-
-def _sliced_join(df: DataFrame, steps: DataFrame, u: Column) -> DataFrame:
-    found = _labels_by_slice(df.select(u.alias("_hi")).distinct(), steps)
-    return df.withColumn("_u", u).join(
-        found.withColumnRenamed("_hi", "_u"), "_u", "left"
-    )
-
-
-def _labels_by_slice(numbers: DataFrame, steps: DataFrame) -> DataFrame:
-    """Label of each distinct number, for bounds too many to broadcast.
-
-    Numbers and bounds together are cut at their quantiles into even slices, read
-    downwards within a slice, and a slice without a bound above a number takes the
-    lowest bound of the slices above it (one row per slice).
-    """
-    points = (
-        numbers.filter(F.col("_hi").isNotNull())
-        .select("_hi", F.lit(False).alias("_is_bound"), F.lit(None).alias("_label"))
-        .unionByName(steps.select("_hi", F.lit(True).alias("_is_bound"), "_label"))
-    )
-    n_slices = _slice_count(points)
-    cuts = points.approxQuantile(
-        "_hi", [i / n_slices for i in range(1, n_slices)], 0.25 / n_slices
-    )
-    cut_list = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<double>")
-    points = points.withColumn(
-        "_slice", F.size(F.filter(cut_list, lambda c: c < F.col("_hi")))
-    )
-    down = Window.partitionBy("_slice").orderBy(F.desc("_hi"), F.desc("_is_bound"))
-    here = F.last("_label", ignorenulls=True).over(
-        down.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    above = Window.orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
-    lowest = points.groupBy("_slice").agg(
-        F.min_by("_label", F.when(F.col("_is_bound"), F.col("_hi"))).alias("_lowest")
-    )
-    from_above = lowest.select(
-        "_slice", F.last("_lowest", ignorenulls=True).over(above).alias("_from_above")
-    )
-    return (
-        points.withColumn("_here", here)
-        .filter(~F.col("_is_bound"))
-        .join(from_above, "_slice")
-        .select("_hi", F.coalesce("_here", "_from_above").alias("_label"))
-    )
-
-
-def _slice_count(df: DataFrame) -> int:
-    """How many slices to cut: the session's shuffle width, at least 2, at most 512."""
-    return max(2, min(512, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+def _descended(rows: DataFrame, steps: DataFrame, n: int, few: bool) -> DataFrame:
+    """``rows`` with the ``_label`` of the least bound that reaches ``_u``, or null."""
+    depth = 1
+    while n > 2 * FANOUT ** (depth + 1):
+        depth += 1
+
+    def values(level: int) -> DataFrame:
+        """Level 0 has all bounds; each level above has one in ``FANOUT`` of the one below."""
+        chosen = F.xxhash64("_hi") % F.lit(FANOUT**level) == 0
+        return steps.filter(chosen).select("_hi") if level else steps
+
+    def placed(rows: DataFrame, level: int) -> DataFrame:
+        """``_cut``: the least value of the level that reaches ``_u``, infinite if none does."""
+        if level == depth:
+            met = rows.withColumn("_values", top)
+        else:
+            met = beside(rows, level)
+        cut = F.coalesce(_reaching("_values")["_hi"], F.lit(float("inf")))
+        return met.withColumn("_cut", F.when(F.col("_u").isNotNull(), cut)).drop("_values")
+
+    def beside(rows: DataFrame, level: int) -> DataFrame:
+        """``_values``: those of the level that lie under the row's cut of the level above."""
+        members = values(level)
+        grouped = (
+            placed(members.withColumn("_u", F.col("_hi")), level + 1)
+            .groupBy("_cut")
+            .agg(F.sort_array(F.collect_list(F.struct(*members.columns))).alias("_values"))
+        )
+        return placed(rows, level + 1).join(F.broadcast(grouped) if few else grouped, "_cut", "left")
+
+    # Some 64 values at most, whatever n.
+    first = sorted(r["_hi"] for r in values(depth).collect())
+    top = F.array(*[F.struct(F.lit(c).alias("_hi")) for c in first])
+    top = top.cast("array<struct<_hi: double>>")
+    return beside(rows, 0).withColumn("_label", _reaching("_values")["_label"])
+
+
+def _reaching(values: str) -> Column:
+    """The first of the sorted values that is >= ``_u``."""
+    return F.get(F.filter(values, lambda v: v["_hi"] >= F.col("_u")), 0)

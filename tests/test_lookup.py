@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cardtide.operators import assign_weighted
 
-WAYS = {"broadcast": 100_000, "sliced": 0}
+WAYS = {"broadcast": 1 << 20, "distributed": 0}
 
 
 def bounds_of(spark, pairs):
@@ -18,7 +18,7 @@ def numbers_of(spark, us):
 
 
 def labels(spark, pairs, us, way):
-    out = assign_weighted(numbers_of(spark, us), bounds_of(spark, pairs), max_broadcast=WAYS[way])
+    out = assign_weighted(numbers_of(spark, us), bounds_of(spark, pairs), max_broadcast_bytes=WAYS[way])
     assert out.columns == ["id", "u", "label"]
     found = {r.id: r.label for r in out.collect()}
     return [found[i] for i in range(len(us))]
@@ -79,10 +79,29 @@ def test_rows_are_not_shuffled_and_joined_by_hash(spark):
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_works_on_a_stream(spark, tmp_path):
+@pytest.mark.parametrize("way", WAYS)
+def test_running_counts_as_bounds(spark, way):
+    """Bounds far from [0, 1), enough of them for a second level of cuts."""
+    bounds = spark.range(1, 5001).select((F.col("id") * 3).cast("double").alias("cum"), "id")
+    bounds = bounds.withColumn("label", F.col("id").cast("string"))
+    rows = spark.range(0, 15010).select("id", (F.col("id") - 2.5).alias("u"))
+    out = assign_weighted(rows, bounds, max_broadcast_bytes=WAYS[way])
+    want = F.when(F.col("u") <= 0, "1").when(F.col("u") > 15000, "All Other")
+    want = want.otherwise(F.ceil(F.col("u") / 3).cast("string"))
+    assert out.count() == 15010
+    assert out.filter(F.col("label") != want).isEmpty()
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_no_bounds(spark, way):
+    assert labels(spark, [(None, "Z")], [0.5, None], way) == ["All Other", "All Other"]
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_works_on_a_stream(spark, tmp_path, way):
     numbers_of(spark, [0.1, 0.7]).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("id long, u double").parquet(str(tmp_path / "in"))
-    out = assign_weighted(stream, bounds_of(spark, [(0.5, "A"), (1.0, "B")]))
+    out = assign_weighted(stream, bounds_of(spark, [(0.5, "A"), (1.0, "B")]), max_broadcast_bytes=WAYS[way])
     query = (
         out.writeStream.format("parquet")
         .option("path", str(tmp_path / "out"))
