@@ -291,19 +291,15 @@ def _verified(pairs: DataFrame, records: DataFrame, percent: int) -> DataFrame:
 
 
 def _may_reach(percent: int, left: str, right: str):
-    """Length and positional filters on two postings of one shingle."""
+    """Length and positional filters on two postings of one shingle.
+
+    All that two sets share stands at or after the first shingle they share, so a similar pair
+    passes at that one; it need not pass at its later ones.
+    """
     a, b = F.col(f"{left}.n"), F.col(f"{right}.n")
     needed = F.ceil((F.lit(percent) * (a + b)) / F.lit(100 + percent))
     ahead = F.least(a - F.col(f"{left}.place"), b - F.col(f"{right}.place"))
-    # Shingles of one document alone come first, and are shared by none.
-    before = F.least(
-        F.col(f"{left}.place") - F.col(f"{left}.alone"),
-        F.col(f"{right}.place") - F.col(f"{right}.alone"),
-    )
-    return (
-        (F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b))
-        & (before + ahead >= needed)
-    )
+    return (F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)) & (ahead >= needed)
 
 
 def similar_documents(
