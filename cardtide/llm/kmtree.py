@@ -134,7 +134,7 @@ class AnnIndex:
         """``query_id, rank, vec_id, score`` of ``queries(vec_id, vector)``: the ``k`` nearest found.
 
         A query visits ``visits`` leaves, and more as long as they hold no more than ``k``
-        rows. A query's own id is no candidate.
+        rows. A query's own id is no candidate; a query that repeats id and vector is answered once.
         """
         trees, shards, visits, k = self.trees, self.shards, self.visits, self.k
 
@@ -159,7 +159,7 @@ class AnnIndex:
                         names=["vec_id", "vector", "shards"],
                     )
 
-        asked = queries.mapInArrow(visit, "vec_id long, vector array<double>, shards array<long>")
+        asked = queries.distinct().mapInArrow(visit, "vec_id long, vector array<double>, shards array<long>")
         asked = asked.select(
             F.explode("shards").alias("shard"), "vec_id", "vector", F.lit(0.0).alias("bound")
         )
@@ -198,7 +198,8 @@ def build_index(
     zeros are left out. Vectors of different lengths are never neighbours. A row that
     repeats id and vector is found once. An empty table gives an index that finds nothing.
     """
-    rows = stored(usable(vectors), "vectors")
+    # Copies would take the places of other neighbours, in a shard's answer and in the calibration's.
+    rows = stored(usable(vectors).distinct(), "vectors")
     spark, n = vectors.sparkSession, rows.count()
     ids, some = sample(rows, SAMPLE_ROWS, seed=29)
     lengths = np.array([len(v) for v in some], np.int64)

@@ -128,6 +128,23 @@ def test_neighbours(spark):
     assert kmtree.build_index(rows.limit(0)).search(kmtree.usable(rows.limit(0))).count() == 0
 
 
+def test_neighbours_of_repeated_rows(spark):
+    rng = np.random.default_rng(15)
+    matrix = rng.normal(0, 1, (600, 8))
+    rows = vectors_of(spark, np.repeat(matrix, 3, axis=0)).withColumn("vec_id", F.expr("vec_id div 3"))
+    index = kmtree.build_index(rows, leaf_rows=2000)
+    got = collections.defaultdict(list)
+    for r in index.search(kmtree.usable(rows).filter("vec_id % 20 = 0")).collect():
+        got[r.query_id].append(r.vec_id)
+    hit = 0
+    for q in range(0, 600, 20):
+        distance = ((matrix - matrix[q]) ** 2).sum(axis=1)
+        distance[q] = np.inf
+        assert len(got[q]) == len(set(got[q])) == 10
+        hit += len(set(np.argsort(distance)[:10].tolist()) & set(got[q]))
+    assert hit / 300 >= 0.9
+
+
 # Toxicity ---------------------------------------------------------------------------------
 
 
