@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from cardtide.llm.common import stored
 from cardtide.llm.vectors import best, dealt_to_shards, matrices, sample, searched
 
 PAGE = 64
@@ -162,6 +163,8 @@ def top_k(
         )
         for df in (vectors, queries)
     )
+    # Copies would take places among the k best, in the sample's bound above all.
+    vectors, queries = stored(vectors.distinct(), "vectors"), queries.distinct()
     spark = vectors.sparkSession
     norm = F.aggregate(
         "vector", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")

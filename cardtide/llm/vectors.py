@@ -100,8 +100,11 @@ def searched(
 
 
 def best(found: DataFrame, k: int, order: Column) -> DataFrame:
-    """The first ``k`` answers of each query by ``order``, then the smaller ``vec_id``."""
-    ranked = found.distinct().withColumn(
+    """The first ``k`` answers of each query by ``order``, then the smaller ``vec_id``.
+
+    Rows and queries are distinct before a search, so no pair of them is found twice.
+    """
+    ranked = found.withColumn(
         "rank", F.row_number().over(Window.partitionBy("query_id").orderBy(order, "vec_id"))
     )
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -85,6 +85,28 @@ def test_exact_top_k(spark):
     assert mtree.top_k(rows.limit(0), queries.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("often", [lambda i: 3, lambda i: 20 if i == 100 else 1])
+def test_exact_top_k_of_repeated_rows(spark, often):
+    """Copies in the sample do not raise the bound that a query starts with."""
+    rng = np.random.default_rng(13)
+    whole = rng.integers(-400, 400, (300, 8))
+    whole[100] = 500
+    # A second vector of an id, of the same score for queries without a last coordinate.
+    whole[:, 7], second = 0, whole[7] + 0
+    second[7] = 9
+    pairs = [(i, v.tolist()) for i, v in enumerate(whole)] + [(7, second.tolist())]
+    rows = spark.createDataFrame(
+        [p for p in pairs for _ in range(often(p[0]))], "vec_id long, vector array<bigint>"
+    )
+    got = collections.defaultdict(list)
+    found = mtree.top_k(rows, rows.filter("vec_id % 50 = 0"), k=10, shard_rows=10)
+    for r in found.orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    for q in range(0, 300, 50):
+        scores = sorted((-int(np.dot(v, whole[q])), i) for i, v in pairs if i != q)[:10]
+        assert got[q] == [(i, -s) for s, i in scores]
+
+
 def test_tree_skips_distances():
     rng = np.random.default_rng(5)
     centers = rng.normal(0, 1000, (20, 6))
