@@ -10,7 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardtide.llm.common import ascii_lower
+from cardtide.llm.common import ascii_lower, small, stored
 
 ALLOW, BLOCK = "allow", "block"
 FEATURES = (
@@ -90,7 +90,7 @@ def _features(df: DataFrame, url: str) -> DataFrame:
 
 @dataclass
 class UrlFilter:
-    """Boosted trees and the suffix statistics they were trained with."""
+    """Boosted trees, and counts by suffix and by domain of all labelled URLs."""
 
     trees: GBTClassificationModel | None
     suffixes: DataFrame | None
@@ -110,12 +110,19 @@ class UrlFilter:
         return judged.select("_row.*", p_block.alias("p_block"))
 
 
-def _with_rates(df: DataFrame, suffixes: DataFrame, domains: DataFrame, prior: float) -> DataFrame:
-    """Smoothed share blocked and log count of each row's suffix and domain."""
+def _with_rates(
+    df: DataFrame, suffixes: DataFrame, domains: DataFrame, prior: float, own: Column | None = None
+) -> DataFrame:
+    """Smoothed share blocked and log count of each row's suffix and domain.
+
+    ``own`` is the label of a row that is among those counted; it is taken off again.
+    """
     for name, table in (("suffix", suffixes), ("domain", domains)):
         seen, bad = F.coalesce("_n", F.lit(0)), F.coalesce("_bad", F.lit(0.0))
+        if own is not None:
+            seen, bad = seen - 1, bad - own
         df = (
-            df.join(F.broadcast(table.withColumnRenamed("_key", f"_{name}")), f"_{name}", "left")
+            df.join(table.withColumnRenamed("_key", f"_{name}"), f"_{name}", "left")
             .withColumns(
                 {
                     f"{name}_rate": (bad + prior * PRIOR_WEIGHT) / (seen + PRIOR_WEIGHT),
@@ -132,28 +139,30 @@ def train_url_filter(
 ) -> UrlFilter:
     """Learn from ``labelled(url, block)``, ``block`` 0 or 1.
 
-    At most ``max_rows`` distinct rows are used, taken by a hash of the URL; the suffix
-    statistics come from the same rows, so they are bounded by it too and are broadcast.
+    The trees are fitted to at most ``max_rows`` distinct URLs, taken by a hash. Suffixes and
+    domains are counted over all distinct URLs, and these counts are broadcast only if they
+    are counted to be small; a row that the trees learn from does not see its own label in them.
     Rows with a null are left out. Without rows of both kinds nothing is blocked.
     """
     rows = labelled.select("url", F.col("block").cast("double").alias("block")).na.drop()
-    rows = rows.groupBy("url").agg(F.max("block").alias("block"))
-    rows = rows.orderBy(F.xxhash64(F.lit(seed), "url"), "url").limit(max_rows)
-    featured = _features(rows, "url").select("block", "_suffix", "_domain", *FEATURES[:11]).cache()
+    rows = stored(rows.groupBy("url").agg(F.max("block").alias("block")), "labelled")
+    n_all, bad_all = rows.agg(F.count(F.lit(1)), F.sum("block")).first()
+    some = rows.orderBy(F.xxhash64(F.lit(seed), "url"), "url").limit(max_rows)
+    featured = _features(some, "url").select("block", "_suffix", "_domain", *FEATURES[:11]).cache()
     n, bad = featured.agg(F.count(F.lit(1)), F.sum("block")).first()
     if not n or bad in (0.0, float(n)):
         featured.unpersist()
         return UrlFilter(None, None, None, 0.0)
-    spark, prior = labelled.sparkSession, bad / n
+    prior, labels = bad_all / n_all, _features(rows, "url")
 
     def rates(column: str) -> DataFrame:
-        counted = featured.groupBy(F.col(column).alias("_key")).agg(
+        counted = labels.groupBy(F.col(column).alias("_key")).agg(
             F.count(F.lit(1)).alias("_n"), F.sum("block").alias("_bad")
         )
-        return spark.createDataFrame(counted.toArrow(), counted.schema)
+        return small(stored(counted, "rates"))
 
     suffixes, domains = rates("_suffix"), rates("_domain")
-    rated = _with_rates(featured, suffixes, domains, prior)
+    rated = _with_rates(featured, suffixes, domains, prior, own=F.col("block"))
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="_vector").transform(rated)
     model = GBTClassifier(
         featuresCol="_vector", labelCol="block", maxIter=trees, maxDepth=depth, stepSize=0.2,

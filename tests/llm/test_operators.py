@@ -237,6 +237,22 @@ def test_url_model_learns(spark):
     assert urls.judge_urls(held.limit(0), model, RULES).count() == 0
 
 
+def test_url_counts_cover_all_rows(spark):
+    """Domains are counted beyond the rows that the trees learn from."""
+    rows = [(f"http://{'bad' if i % 2 else 'ok'}{i // 2 % 40}.net/{i}", i % 2) for i in range(800)]
+    labelled = spark.createDataFrame([*rows, rows[0], (None, 1)], "url string, block int")
+    model = urls.train_url_filter(labelled, max_rows=60, trees=3)
+    domains = {r["_key"]: (r["_n"], r["_bad"]) for r in model.domains.collect()}
+    assert domains == {f"{k}{i}.net": (10, 10.0 * (k == "bad")) for k in ("ok", "bad") for i in range(40)}
+    assert [tuple(r) for r in model.suffixes.select("_n", "_bad").collect()] == [(800, 400.0)]
+    # One URL on its own: without its own label nothing of its domain is known.
+    one = spark.createDataFrame([("a.b", "b", 1.0)], "_domain string, _suffix string, block double")
+    count = spark.createDataFrame([("a.b", 1, 1.0), ("b", 3, 1.0)], "_key string, _n long, _bad double")
+    got = urls._with_rates(one, count, count, 0.25, own=F.col("block")).first()
+    assert (got.domain_rate, got.domain_seen) == (0.25, 0.0)
+    assert got.suffix_rate == pytest.approx(5 / 22) and got.suffix_seen == pytest.approx(math.log(3))
+
+
 # Lines --------------------------------------------------------------------------------------
 
 
