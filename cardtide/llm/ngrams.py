@@ -359,14 +359,23 @@ def similar_documents(
 
 
 def one_of_each_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without those that link, over any way, to one of a smaller doc_id.
+    """One row of each group of rows that link over any way, the one of the smallest doc_id.
 
-    Columns stay as they are. Rows without a doc_id stay; rows that repeat one stay or go together.
+    Columns stay as they are. Every row is a document of its own, also where doc_ids repeat or
+    are null; a row with a doc_id comes before one without.
     """
-    classes = similar_documents(docs, width, percent)
-    gone = classes.filter(F.col("component_id") < F.col("doc_id"))
-    gone = small(stored(gone.select(F.col("doc_id").alias("_gone")).distinct(), "gone"), 1_000_000)
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    texts = rows.select(F.col("_row").alias("doc_id"), "text")
+    classes = similar_documents(texts, width, percent).select(
+        F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")
+    )
+    placed = stored(rows.select("_row", "doc_id").join(classes, "_row"), "placed")
+    first = placed.groupBy("_group").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).getField("_row").alias("_first")
+    )
+    gone = placed.join(first, "_group").filter(F.col("_row") != F.col("_first"))
+    gone = small(stored(gone.select(F.col("_row")), "gone"), 1_000_000)
+    return rows.join(gone, "_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _common(read: DataFrame, n_docs: int) -> tuple[np.ndarray, np.ndarray]:

@@ -11,8 +11,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cardtide.llm.common import small, stored
-
 BITS = 22
 MOST_FEATURES = 5000
 LEAST_Z = 4.0
@@ -165,6 +163,29 @@ def _telling(column: np.ndarray, owner: np.ndarray, grade: np.ndarray) -> np.nda
     return strong[np.argsort(-np.abs(z[strong]), kind="stable")[:MOST_FEATURES]]
 
 
+def _grader(weights: np.ndarray, cuts: np.ndarray):
+    """A function from texts to P(grade > k): one row a text."""
+    own = OrdinalModel(weights, cuts)
+    memo: dict[str, tuple[int, ...]] = {}
+
+    def score(text: str | None) -> float:
+        """The same sum as over ``text_features``, with the telling features only."""
+        totals: Counter = Counter()
+        for word, n in Counter((text or "").lower().split()).items():
+            known = memo.get(word)
+            if known is None:
+                if len(memo) >= MEMO_WORDS:
+                    memo.clear()
+                bare = word.strip(EDGE)
+                found = features_of(bare) if bare else ()
+                known = memo[word] = tuple(f for f in found if weights[f])
+            for feature in known:
+                totals[feature] += n
+        return float(sum(weights[f] * (1 + np.log(n)) for f, n in totals.items()))
+
+    return lambda texts: own.above(np.array([score(t) for t in texts]))
+
+
 def grade_texts(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     """Severity of each text: ``doc_id, expected_severity, grade``, one row per row of ``docs``.
 
@@ -181,30 +202,11 @@ def grade_texts(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     )
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, cuts = shared.value
-        own = OrdinalModel(weights, cuts)
-        memo: dict[str, tuple[int, ...]] = {}
-
-        def score(text: str | None) -> float:
-            """The same sum as over ``text_features``, with the telling features only."""
-            totals: Counter = Counter()
-            for word, n in Counter((text or "").lower().split()).items():
-                known = memo.get(word)
-                if known is None:
-                    if len(memo) >= MEMO_WORDS:
-                        memo.clear()
-                    bare = word.strip(EDGE)
-                    found = features_of(bare) if bare else ()
-                    known = memo[word] = tuple(f for f in found if weights[f])
-                for feature in known:
-                    totals[feature] += n
-            return float(sum(weights[f] * (1 + np.log(n)) for f, n in totals.items()))
-
+        above_of = _grader(*shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                scores = np.array([score(t) for t in part.column("text").to_pylist()])
-                above = own.above(scores)
+                above = above_of(part.column("text").to_pylist())
                 yield pa.record_batch(
                     [
                         part.column("doc_id"),
@@ -219,11 +221,21 @@ def grade_texts(docs: DataFrame, model: OrdinalModel) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, model: OrdinalModel, at: float = 0.5) -> DataFrame:
-    """The documents whose expected severity is below ``at``, with all their columns.
+    """The rows whose expected severity is below ``at``, with all their columns.
 
-    Rows without a doc_id cannot be told apart by it and stay. A doc_id is rejected as a whole.
+    Each row is judged by its own text, whatever its doc_id.
     """
-    toxic = grade_texts(docs, model).filter(F.col("expected_severity") >= at)
-    ids = toxic.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_toxic")).distinct()
-    ids = small(stored(ids, "toxic"), 1_000_000)
-    return docs.join(ids, F.col("doc_id") == F.col("_toxic"), "left_anti")
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (model.weights.astype(np.float32), model.cuts)
+    )
+    place = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        above_of = _grader(*shared.value)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                severity = above_of(part.column(place).to_pylist()).sum(axis=1)
+                yield part.filter(pa.array(severity < at))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -363,6 +363,22 @@ def test_ngram_join(spark, width, percent):
     assert ngrams.similar_documents(docs.limit(0)).count() == 0
 
 
+def test_filters_see_rows_without_ids_of_their_own(spark):
+    """Null and repeated doc_ids do not keep toxic texts or copies in."""
+    rng = random.Random(12)
+    bad = [" ".join(words_of(rng, 40) + ["vile"] * (i % 2) * 3) for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, grade int")
+    model = toxicity.train_ordinal(docs_of(spark, bad), labels)
+    rows = [(None, bad[1]), (None, bad[0]), (5, bad[3]), (5, bad[2])]
+    kept = toxicity.drop_toxic(spark.createDataFrame(rows, "doc_id long, text string"), model)
+    assert {tuple(r) for r in kept.collect()} == {(None, bad[0]), (5, bad[2])}
+    text, other = " ".join(words_of(rng, 60)), " ".join(words_of(rng, 60))
+    rows = [(None, text)] * 30 + [(7, text)] * 30 + [(9, text), (None, other), (None, other), (9, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in ngrams.one_of_each_group(docs).collect()]
+    assert collections.Counter(kept) == collections.Counter([(7, text), (None, other), (9, ""), (None, None)])
+
+
 # Secrets ------------------------------------------------------------------------------------
 
 
