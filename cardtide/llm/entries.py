@@ -14,10 +14,13 @@ from cardtide.llm.mixing import mix
 from cardtide.llm.mtree import top_k
 from cardtide.llm.ngrams import similar_documents
 from cardtide.llm.packing import pack
+from cardtide.llm.pagetext import extract_text
 from cardtide.llm.secrets import find_secrets, labelled_strings, span_text, train_markov
 from cardtide.llm.toxicity import OrdinalModel, grade_texts, train_ordinal
 from cardtide.llm.urls import judge_urls, train_url_filter
+from cardtide.llm.variants import misspelt_words, spelling_forms
 from cardtide.llm.vectors import finite
+from cardtide.llm.whitening import whiten, whole_vector
 
 # The rules that op3 applies.
 URL_RULES = {
@@ -143,6 +146,21 @@ def op10_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op11_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").filter(finite(F.col("embedding")))
+    white = whiten(rows.select("vec_id", whole_vector(F.col("embedding")).alias("x")))
+    # Exact up to what a long holds, null beyond.
+    return white.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_forms(misspelt_words(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_top_k": op1_exact_top_k,
@@ -155,12 +173,39 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_format": op8_chat_format,
         "op9_source_mix": op9_source_mix,
         "op10_lexical_packing": op10_lexical_packing,
+        "op11_page_text": op11_page_text,
+        "op12_whitening": op12_whitening,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_top_k": OP1_SQL, "op6_ngram_join": OP6_SQL, "op8_chat_format": OP8_SQL}
+    return {
+        "op1_exact_top_k": OP1_SQL,
+        "op6_ngram_join": OP6_SQL,
+        "op8_chat_format": OP8_SQL,
+        "op11_page_text": OP11_SQL,
+    }
+
 
+# The pages given hold one article element of headings and paragraphs, so its text can be cut
+# out by patterns; other shapes of page are in the tests.
+OP11_SQL = r"""
+WITH cut AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1) AS body
+  FROM pages
+),
+block AS (
+  SELECT page_id, url, list_transform(
+    regexp_split_to_array(regexp_replace(body, '<br>|</?b>', ' ', 'g'), '</?(?:p|h1)>'),
+    lambda t: trim(regexp_replace(replace(replace(replace(replace(
+      t, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))) AS parts
+  FROM cut
+)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars
+FROM (SELECT page_id, url, array_to_string(list_filter(parts, lambda t: t <> ''), chr(10) || chr(10)) AS text
+      FROM block)
+"""
 
 OP8_SQL = """
 WITH said AS (
