@@ -7,6 +7,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -35,10 +37,17 @@ from cardtide.operators import (
 from cardtide.plans.events import wire_rows
 from cardtide.plans.screening import screen, screened_minutes, to_transactions, unreadable
 from cardtide.scratch import new_folder
+from cardtide.sources.carried import read_chained, write_carry
+from cardtide.sources.complete import complete_minutes, settle_minutes, settled_minutes
+from cardtide.sources.expiry import expire_written, read_unexpired
 from cardtide.sources.files import stream_parquet
 from cardtide.sources.tables import (
+    create_minute_view,
+    create_tables,
     drop_days,
     expired_days,
+    find_transactions,
+    minute_rows,
     read_minutes,
     read_transactions,
     read_with,
@@ -48,9 +57,12 @@ from cardtide.sources.tables import (
     write_transactions,
 )
 from cardtide.streaming import (
+    BatchLog,
     finish,
+    minutes_by_arrival,
     minutes_of,
     sliding_hour_of,
+    start_merged,
     start_minutes,
     start_raw,
     start_screening,
@@ -314,6 +326,38 @@ def point_lookup_query(spark, sf_dir):
     )
 
 
+def _days_between(minutes: DataFrame) -> tuple[dt.date, dt.date, dt.date]:
+    """First, middle and last day of a minute table."""
+    first, last = minutes.agg(F.min("minute_date"), F.max("minute_date")).first()
+    return first, first + (last - first) // 2, last
+
+
+def chained_from_carry(spark, sf_dir):
+    """Carried totals kept per closed day: each half of the days is read from the row before it."""
+    path = new_folder(spark, "carry")
+    stored = _stored_minutes(spark, sf_dir)
+    first, middle, last = _days_between(stored)
+    for before in (middle, last):
+        write_carry(stored, path, before)
+    later = middle + dt.timedelta(days=1)
+    halves = read_chained(stored, path, first, middle).unionByName(read_chained(stored, path, later))
+    return _result(halves.drop("minute_date"))
+
+
+def lookup_transaction(spark, sf_dir):
+    """The newest transaction by its id, and all transactions of its card by the card."""
+    path = new_folder(spark, "transactions")
+    txns = to_transactions(_wire_rows(spark, sf_dir))
+    write_transactions(txns, path, keys=["txn_id", "cc_no"])
+    newest = read_transactions(spark, path).agg(F.max_by("txn_id", "txn_time")).first()[0]
+    one = find_transactions(spark, path, txn_id=newest)
+    card, day = one.select("cc_no", "txn_date").first()
+    one = find_transactions(spark, path, day=day, txn_id=newest).withColumn("found_by", F.lit("id"))
+    card = find_transactions(spark, path, cc_no=card).withColumn("found_by", F.lit("card"))
+    both = one.unionByName(card)
+    return _result(both.select("found_by", "txn_id", "cc_no", "txn_time", "merchant", "amount"))
+
+
 # Lookup on cumulative weights ---------------------------------------------------------
 
 
@@ -443,6 +487,23 @@ def sql_view_carried(spark, sf_dir):
     return spark.sql(CARRIED_TEXT)
 
 
+def sql_table_function(spark, sf_dir):
+    """The eleven minute columns by another session, from what the catalog keeps in SQL: the view
+    for the first half of the days, the table function for the second."""
+    transactions, minutes = new_folder(_utc(spark), "transactions"), new_folder(spark, "minutes")
+    names = [f"{n}_{uuid.uuid4().hex}" for n in ("transactions", "minutes", "carried")]
+    create_tables(spark, transactions, minutes, *names[:2])
+    minute_rows(_minutes(spark, sf_dir)).repartition("minute_date").write.insertInto(names[1])
+    create_minute_view(spark, names[1], names[2])
+    first, middle, last = _days_between(spark.table(names[1]))
+    other = state_session(spark)
+    early = other.sql(f"SELECT * FROM {names[2]} WHERE to_date(minute_ts) <= DATE '{middle}'")
+    later = other.sql(
+        f"SELECT * FROM {names[2]}_between(DATE '{middle}' + INTERVAL 1 DAY, DATE '{last}')"
+    )
+    return _result(early.unionByName(later))
+
+
 # Streams -------------------------------------------------------------------------------
 
 
@@ -510,6 +571,94 @@ def stream_quarantine(spark, sf_dir):
     return kept.unionByName(aside)
 
 
+def _in_two_runs(spark, sf_dir, folder: str, start) -> None:
+    """Run a job over events of which every fifth comes a run later, behind the watermark."""
+    events = _table(spark, sf_dir, "events")
+    late = F.col("event_id") % 5 == 0
+    for part in (events.filter(~late), events.filter(late)):
+        part.write.mode("append").parquet(f"{folder}/source")
+        session = state_session(spark, 8)
+        stream = stream_parquet(session, f"{folder}/source", events.schema)
+        for query in start(to_transactions(wire_rows(stream))):
+            finish(query)
+
+
+def stream_screening(spark, sf_dir):
+    """Both outputs of one stream with late rows: the minutes of both together are complete."""
+    folder = new_folder(_utc(spark), "screening")
+    _in_two_runs(spark, sf_dir, folder, lambda txns: start_screening(txns, folder, trigger=ONCE))
+    minutes = complete_minutes(spark, f"{folder}/minutes", f"{folder}/transactions")
+    return _result(minutes.drop("minute_date"))
+
+
+def stream_settled(spark, sf_dir):
+    """The same, with the minutes counted again stored, and totals carried over them."""
+    folder = new_folder(_utc(spark), "screening")
+    _in_two_runs(spark, sf_dir, folder, lambda txns: start_screening(txns, folder, trigger=ONCE))
+    tables = f"{folder}/minutes", f"{folder}/transactions", f"{folder}/settled"
+    settle_minutes(spark, *tables)
+    minutes = settled_minutes(spark, tables[0], tables[2])
+    return _result(chained_totals(minutes).drop("minute_date"))
+
+
+def stream_upsert(spark, sf_dir):
+    """Every event, and in a later run every event again with twice the amount: merged at write."""
+    folder = new_folder(_utc(spark), "merged")
+    events = _table(spark, sf_dir, "events")
+    table = f"{folder}/transactions"
+    for part in (events, events.withColumn("value", F.col("value") * 2)):
+        part.write.mode("append").parquet(f"{folder}/source")
+        stream = stream_parquet(state_session(spark), f"{folder}/source", events.schema)
+        txns = to_transactions(wire_rows(stream))
+        finish(start_merged(txns, table, f"{folder}/checkpoint", trigger=ONCE))
+    kept = read_transactions(spark, table)
+    return _result(kept.select("txn_id", "txn_time", "cc_no", "merchant", "amount", "status"))
+
+
+def expire_streamed(spark, sf_dir):
+    """A stream stored by day of writing, here the transaction's own time: expired days are
+    deleted, and what has not expired is counted."""
+    path = new_folder(_utc(spark), "transactions")
+    txns = to_transactions(wire_rows(_event_stream(spark, sf_dir)))
+    txns = txns.withColumn("ingest_ts", F.col("txn_time"))
+    finish(start_raw(txns, path, f"{path}_checkpoint", trigger=ONCE, day="ingest_date"))
+    newest = _table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
+    expire_written(spark, path, as_of=newest, listed="delete")
+    left = read_unexpired(spark, path, as_of=newest).groupBy("ingest_date")
+    return left.agg(F.count(F.lit(1)).alias("n_txn")).withColumn(
+        "ingest_date", F.col("ingest_date").cast("string")
+    )
+
+
+def stream_by_clock(spark, sf_dir):
+    """Minutes by the clock of the batch, closed by a beat of the clock and no transaction. Which
+    minute that is is left out."""
+    path = new_folder(_utc(spark), "minutes")
+    beat = F.current_timestamp() + F.expr("INTERVAL 10 MINUTES")
+    spark.range(1).select(beat.alias("timestamp")).write.parquet(f"{path}_beats")
+    session = state_session(spark, 8)
+    beats = session.readStream.schema("timestamp timestamp").parquet(f"{path}_beats")
+    txns = to_transactions(wire_rows(_event_stream(session, sf_dir)))
+    minutes = minutes_by_arrival(txns, beats=beats)
+    finish(start_minutes(minutes, path, f"{path}_checkpoint", trigger=ONCE))
+    return read_minutes(spark, path).select("approved_rate_min", "ttl_txn_min", "approved_txn_min")
+
+
+def stream_rows_processed(spark, sf_dir):
+    """Rows in, out and too late, as a listener kept them per batch, against the table's rows."""
+    path = new_folder(_utc(spark), "transactions")
+    session = state_session(spark)
+    log = BatchLog(session, f"{path}_batches")
+    txns = to_transactions(wire_rows(_event_stream(session, sf_dir)))
+    query = start_raw(txns, path, f"{path}_checkpoint", trigger=ONCE)
+    finish(query)
+    log.wait(query)
+    log.close()
+    sums = log.batches().agg(*[F.sum(c).alias(c) for c in ("rows_in", "rows_out", "rows_late")])
+    stored = read_transactions(spark, path).agg(F.count(F.lit(1)).alias("rows_stored"))
+    return sums.withColumn("rows_stored", F.lit(stored.first()[0]).cast("long"))
+
+
 def stream_dedup(spark, sf_dir):
     """Every event sent twice, kept once."""
     path = new_folder(_utc(spark), "unique")
@@ -597,6 +746,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_by_arrival": stream_by_arrival,
         "stream_quarantine": stream_quarantine,
         "stream_dedup": stream_dedup,
+        "chained_from_carry": chained_from_carry,
+        "lookup_transaction": lookup_transaction,
+        "sql_table_function": sql_table_function,
+        "stream_screening": stream_screening,
+        "stream_settled": stream_settled,
+        "stream_upsert": stream_upsert,
+        "expire_streamed": expire_streamed,
+        "stream_by_clock": stream_by_clock,
+        "stream_rows_processed": stream_rows_processed,
     } | _llm_queries()
 
 
@@ -894,4 +1052,29 @@ WITH {_TXN}, told AS (
 SELECT txn_id AS sent_id, CASE WHEN problem IS NULL THEN status END AS status, problem FROM told""",
         "stream_dedup": """
 SELECT CAST(event_id AS VARCHAR) AS txn_id, ts AS txn_time, event_type AS merchant FROM events""",
+        "chained_from_carry": chained_sql,
+        "lookup_transaction": f"""
+WITH {_TXN}, newest AS (SELECT * FROM txn ORDER BY txn_time DESC LIMIT 1)
+SELECT 'id' AS found_by, txn_id, cc_no, txn_time, merchant, amount FROM newest
+UNION ALL
+SELECT 'card', t.txn_id, t.cc_no, t.txn_time, t.merchant, t.amount
+FROM txn t JOIN newest n ON t.cc_no = n.cc_no""",
+        "sql_table_function": chained_sql,
+        "stream_screening": minutes_sql,
+        "stream_settled": chained_sql,
+        "stream_upsert": f"""
+WITH {_TXN}, twice AS (SELECT event_id, CAST(value * 2 AS DECIMAL(18,2)) AS amount FROM events)
+SELECT txn_id, txn_time, cc_no, merchant, CAST(twice.amount AS DOUBLE) AS amount, status
+FROM txn JOIN twice ON txn_id = CAST(event_id AS VARCHAR)""",
+        "expire_streamed": """
+SELECT strftime(ts, '%Y-%m-%d') AS ingest_date, count(*) AS n_txn FROM events
+WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 86400 SECONDS GROUP BY 1""",
+        "stream_by_clock": f"""
+WITH {_TXN},
+arrived AS (SELECT count(*) AS ttl, count(*) FILTER (WHERE status = 'APPROVED') AS app FROM txn)
+SELECT {_MINUTE_COUNTS} FROM arrived""",
+        "stream_rows_processed": """
+SELECT count(*) AS rows_in, count(*) AS rows_out, CAST(0 AS BIGINT) AS rows_late,
+       count(*) AS rows_stored
+FROM events""",
     } | _llm_sql()

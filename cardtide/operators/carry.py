@@ -17,6 +17,7 @@ from cardtide.functions.rates import approval_rate
 from cardtide.operators.minutes import minute_row
 
 MINUTES_PER_DAY = 1440
+START_DAY = -(1 << 40)
 
 
 def _day(minute: Column) -> Column:
@@ -49,19 +50,18 @@ def with_hour_columns(df: DataFrame, total: Column, approved: Column) -> DataFra
     )
 
 
-def chained_totals(minutes: DataFrame) -> DataFrame:
+def chained_totals(minutes: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """Running totals that go on from the previous minute's row.
 
     Each minute adds to the total carried by the row one minute earlier and starts
     afresh where that row is missing. Despite the ``_hr`` names nothing is taken off
     after an hour; for that see ``sliding_hour``. Fill quiet minutes first
     (``fill_quiet_minutes``) if they should carry the total along.
+
+    ``before`` is a row of ``chained_days`` for a day ahead of all ``minutes``, whose totals
+    go on into them if its last minute touches the first one here.
     """
-    rows = _by_day(minutes)
-    in_day = Window.partitionBy("_day").orderBy("_m")
-    gap = F.coalesce(F.col("_m") - F.lag("_m").over(in_day) != 1, F.lit(False))
-    # Run 0 of a day is the one that may go on from the day before.
-    rows = rows.withColumn("_gap", gap.cast("int")).withColumn("_run", F.sum("_gap").over(in_day))
+    rows = with_runs(minutes)
     in_run = (
         Window.partitionBy("_day", "_run")
         .orderBy("_m")
@@ -73,7 +73,9 @@ def chained_totals(minutes: DataFrame) -> DataFrame:
             "_approved": F.sum("approved_txn_min").over(in_run),
         }
     )
-    rows = rows.join(_carried_into_day(rows), "_day", "left")
+    ends = rows.groupBy("_day").agg(*_ends("_total", "_approved"))
+    carried = chained_days(ends if before is None else ends.unionByName(as_start(before)))
+    rows = rows.join(carried.select("_day", "_total_in", "_approved_in"), "_day", "left")
     goes_on = F.col("_run") == 0
     zero = F.lit(0).cast("long")
     total = F.col("_total") + F.when(goes_on, F.col("_total_in")).otherwise(zero)
@@ -83,19 +85,59 @@ def chained_totals(minutes: DataFrame) -> DataFrame:
     )
 
 
-def _carried_into_day(rows: DataFrame) -> DataFrame:
-    """Per day, the totals its first minute takes over from the day before.
+def with_runs(minutes: DataFrame, day: Column | None = None) -> DataFrame:
+    """Minutes with their number ``_m``, ``_day`` (any number of the day, by default that in UTC)
+    and ``_run`` of adjacent minutes in it."""
+    rows = _by_day(minutes) if day is None else _by_day(minutes).withColumn("_day", day)
+    in_day = Window.partitionBy("_day").orderBy("_m")
+    gap = F.coalesce(F.col("_m") - F.lag("_m").over(in_day) != 1, F.lit(False))
+    # Run 0 of a day is the one that may go on from the day before.
+    return rows.withColumn("_gap", gap.cast("int")).withColumn("_run", F.sum("_gap").over(in_day))
 
-    One row per calendar day, so the ordered window below sees 36,525 rows per
-    century however many transactions there are.
-    """
-    days = rows.groupBy("_day").agg(
+
+def _ends(total: str, approved: str) -> list[Column]:
+    return [
         F.min("_m").alias("_first"),
         F.max("_m").alias("_last"),
         F.max("_run").alias("_runs"),
-        F.max_by("_total", "_m").alias("_tail_total"),
-        F.max_by("_approved", "_m").alias("_tail_approved"),
+        F.max_by(total, "_m").alias("_tail_total"),
+        F.max_by(approved, "_m").alias("_tail_approved"),
+    ]
+
+
+def day_ends(minutes: DataFrame, day: Column | None = None) -> DataFrame:
+    """Per day: its first and last minute, how often its minutes break off, and the totals of
+    its last run. One row of six numbers per calendar day."""
+    runs = with_runs(minutes, day).groupBy("_day", "_run").agg(
+        F.min("_m").alias("_from"),
+        F.max("_m").alias("_m"),
+        F.sum("ttl_txn_min").alias("_total"),
+        F.sum("approved_txn_min").alias("_approved"),
+    )
+    first = F.min("_from").alias("_first")
+    return runs.groupBy("_day").agg(first, *_ends("_total", "_approved")[1:])
+
+
+def as_start(ended: DataFrame) -> DataFrame:
+    """A day of ``chained_days`` as the one to go on from, ahead of all others: what it passes on
+    is its own."""
+    return ended.select(
+        F.lit(START_DAY).cast("long").alias("_day"),
+        "_first",
+        "_last",
+        F.lit(1).cast("long").alias("_runs"),
+        F.col("_total_out").alias("_tail_total"),
+        F.col("_approved_out").alias("_tail_approved"),
     )
+
+
+def chained_days(days: DataFrame) -> DataFrame:
+    """``day_ends`` with the totals that each day takes over from the day before
+    (``_total_in``, ``_approved_in``) and those it passes on (``_total_out``, ``_approved_out``).
+
+    One row per calendar day, so the ordered window below sees 36,525 rows per
+    century however many transactions there are.
+    """
     order = Window.orderBy("_day")
     touches = F.coalesce(F.col("_first") - F.lag("_last").over(order) == 1, F.lit(False))
     days = days.withColumn("_touches", touches)
@@ -113,13 +155,11 @@ def _carried_into_day(rows: DataFrame) -> DataFrame:
         }
     )
     zero = F.lit(0).cast("long")
-    return days.select(
-        "_day",
-        F.when(F.col("_touches"), F.lag("_total_out").over(order)).otherwise(zero).alias("_total_in"),
-        F.when(F.col("_touches"), F.lag("_approved_out").over(order))
-        .otherwise(zero)
-        .alias("_approved_in"),
-    )
+    taken = {
+        f"{name}_in": F.when(F.col("_touches"), F.lag(f"{name}_out").over(order)).otherwise(zero)
+        for name in ("_total", "_approved")
+    }
+    return days.withColumns(taken).drop("_touches", "_chain")
 
 
 def sliding_hour(minutes: DataFrame, length: int = 60) -> DataFrame:

@@ -27,6 +27,7 @@ def minute_rollup(
     time: str = "txn_time",
     label: str = "start",
     calendar: str = "iso",
+    counted: Column | None = None,
 ) -> DataFrame:
     """One row per minute that has transactions: total, approved and rate.
 
@@ -35,8 +36,9 @@ def minute_rollup(
     a minute holding most of the data still shuffles as a handful of rows.
 
     ``label`` names a minute by its ``start``, or by its ``end`` as a job does
-    that labels the minute just closed with the clock. A null time raises in a batch;
-    a stream passes over it, as it does over rows behind the watermark.
+    that labels the minute just closed with the clock. A null time raises in a batch; so it does
+    in the streams of ``streaming.jobs``, where else a window passes over it. Rows for which ``counted`` is not true open their minute but are not counted in
+    it; they have no status.
     """
     if label not in ("start", "end"):
         raise ValueError(f"label must be 'start' or 'end', not {label!r}")
@@ -47,10 +49,10 @@ def minute_rollup(
         # moves below the decoder, which then runs twice per message.
         keyed = F.coalesce(epoch_minute(F.col(time)), F.raise_error(F.lit(f"null {time}")))
         minute_ts = from_epoch_minute(F.col("_minute") + int(label == "end"))
-    counted = txns.groupBy(keyed.alias("_minute")).agg(
-        F.count(F.lit(1)).alias("_total"),
+    minutes = txns.groupBy(keyed.alias("_minute")).agg(
+        (F.count(F.lit(1)) if counted is None else F.count_if(counted)).alias("_total"),
         F.count_if(F.col("status") == APPROVED).alias("_approved"),
     )
-    return counted.select(
+    return minutes.select(
         *minute_row(minute_ts, F.col("_total"), F.col("_approved"), calendar)
     )

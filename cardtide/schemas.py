@@ -86,6 +86,14 @@ TRANSACTION_TABLE = T.StructType(
         T.StructField("txn_date", T.DateType()),
     ]
 )
+# The same, partitioned by the day of writing, for tables that expire.
+WRITTEN_TABLE = T.StructType(
+    TRANSACTION.fields
+    + [
+        T.StructField("ingest_ts", T.TimestampType()),
+        T.StructField("ingest_date", T.DateType()),
+    ]
+)
 MINUTE_TABLE = T.StructType(
     MINUTE.fields
     + [

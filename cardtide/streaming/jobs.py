@@ -17,21 +17,60 @@ from cardtide.operators.minutes import minute_rollup
 from cardtide.schemas import APPROVED
 from cardtide.sources.tables import minute_rows, transaction_rows
 
+# Name of the metric that counts the rows a stream hands to its sink.
+ROWS_OUT = "rows_out"
 
-def minutes_of(txns: DataFrame, delay: str = "1 minute", **how) -> DataFrame:
+
+def minutes_of(
+    txns: DataFrame, delay: str = "1 minute", beats: DataFrame | None = None, **how
+) -> DataFrame:
     """``minute_rollup`` of a stream by event time.
 
     A minute is given out once, when the watermark (newest time seen less
-    ``delay``) has passed its end; rows for it that come later are dropped.
+    ``delay``) has passed its end; rows for it that come later are dropped here, and
+    found again by ``sources.complete``. With ``beats`` (``heartbeat``) the watermark moves
+    with the clock, so that the last minute closes without a further transaction, and quiet minutes
+    are rows with 0.
+    """
+    if beats is not None:
+        txns, how["counted"] = _with_beats(txns, beats, "txn_time"), ~F.col("_beat")
+    return minute_rollup(_watermarked(txns, delay), **how)
+
+
+def minutes_by_arrival(
+    txns: DataFrame, calendar: str = "iso", beats: DataFrame | None = None
+) -> DataFrame:
+    """``minute_rollup`` by the clock at which a micro-batch runs, not by event time.
+
+    ``beats`` as in ``minutes_of``: without them a minute waits for the next transaction.
     """
-    return minute_rollup(txns.withWatermark("txn_time", delay), **how)
+    arrived, counted = txns.withColumn("arrived_at", F.current_timestamp()), None
+    if beats is not None:
+        arrived, counted = _with_beats(arrived, beats, "arrived_at"), ~F.col("_beat")
+    arrived = arrived.withWatermark("arrived_at", "0 seconds")
+    return minute_rollup(arrived, time="arrived_at", calendar=calendar, counted=counted)
 
 
-def minutes_by_arrival(txns: DataFrame, calendar: str = "iso") -> DataFrame:
-    """``minute_rollup`` by the clock at which a micro-batch runs, not by event time."""
-    arrived = txns.withColumn("arrived_at", F.current_timestamp())
-    return minute_rollup(
-        arrived.withWatermark("arrived_at", "0 seconds"), time="arrived_at", calendar=calendar
+def _watermarked(txns: DataFrame, delay: str) -> DataFrame:
+    """With a watermark on a time that must be known, as it must in a batch."""
+    known = F.coalesce("txn_time", F.raise_error(F.lit("null txn_time")).cast("timestamp"))
+    return txns.withColumn("txn_time", known).withWatermark("txn_time", delay)
+
+
+def heartbeat(spark: SparkSession, per_second: int = 1) -> DataFrame:
+    """A stream of clock times, ``timestamp``, from the driver's clock."""
+    return spark.readStream.format("rate").option("rowsPerSecond", per_second).load().select("timestamp")
+
+
+def _with_beats(txns: DataFrame, beats: DataFrame, time: str) -> DataFrame:
+    """Status and time of transactions, and rows of the clock without a status."""
+    real = txns.select("status", time, F.lit(False).alias("_beat"))
+    return real.unionByName(
+        beats.select(
+            F.lit(None).cast("string").alias("status"),
+            F.col("timestamp").alias(time),
+            F.lit(True).alias("_beat"),
+        )
     )
 
 
@@ -42,7 +81,7 @@ def sliding_hour_of(txns: DataFrame, delay: str = "1 minute", calendar: str = "i
     one row per minute and not to the transactions.
     """
     per_minute = (
-        txns.withWatermark("txn_time", delay)
+        _watermarked(txns, delay)
         .groupBy(F.window("txn_time", "1 minute").alias("_minute"))
         .agg(
             F.count(F.lit(1)).alias("_total"),
@@ -87,7 +126,8 @@ def unique_transactions(
 
 def _start(df: DataFrame, path: str, checkpoint: str, day: str, name, trigger, retention):
     writer = (
-        df.writeStream.format("parquet")
+        df.observe(ROWS_OUT, F.count(F.lit(1)).alias("n"))
+        .writeStream.format("parquet")
         .outputMode("append")
         .partitionBy(day)
         .option("path", path)
@@ -106,14 +146,16 @@ def start_raw(
     name: str | None = None,
     trigger: dict | None = None,
     retention: str | None = None,
+    day: str = "txn_date",
 ) -> StreamingQuery:
     """Append transactions to their table every second (or as ``trigger`` says).
 
-    ``retention`` (such as ``"86400s"``) makes the sink forget files older than that.
-    Rows per batch are in the query's progress as ``numInputRows``.
+    ``retention`` (such as ``"86400s"``) makes the sink forget files older than that; with
+    ``day="ingest_date"`` they lie by day of writing, and ``expire_written`` deletes them.
+    ``BatchLog`` keeps the rows of each batch.
     """
     trigger = trigger or {"processingTime": "1 second"}
-    return _start(transaction_rows(txns), path, checkpoint, "txn_date", name, trigger, retention)
+    return _start(transaction_rows(txns, day), path, checkpoint, day, name, trigger, retention)
 
 
 def start_minutes(
@@ -163,9 +205,13 @@ def start_screening(
     trigger: dict | None = None,
     retention: str | None = None,
     bad: DataFrame | None = None,
+    beats: DataFrame | None = None,
 ) -> tuple[StreamingQuery, ...]:
     """Both outputs of one source: raw transactions and minute rows.
 
+    ``sources.complete.complete_minutes`` of both holds every transaction, late ones and those of
+    minutes still open included. ``beats`` as in ``minutes_of``.
+
     Below ``folder``: ``transactions``, ``minutes`` and a checkpoint for each. Started
     again on the same folder, both go on where they stopped. With ``bad`` (``unreadable`` of the
     messages that ``txns`` screens under quarantine) a third query keeps those in
@@ -176,7 +222,7 @@ def start_screening(
         trigger=trigger, retention=retention,
     )
     minutes = start_minutes(
-        minutes_of(txns, delay), f"{folder}/minutes", f"{folder}/_minutes_checkpoint",
+        minutes_of(txns, delay, beats), f"{folder}/minutes", f"{folder}/_minutes_checkpoint",
         trigger=trigger, retention=retention,
     )
     if bad is None:

@@ -12,7 +12,9 @@ from cardtide.schemas import TRANSACTION
 from cardtide.sources.files import stream_parquet, stream_text
 from cardtide.sources.tables import drop_days, read_minutes, read_transactions, read_with
 from cardtide.streaming import (
+    BatchLog,
     finish,
+    heartbeat,
     minutes_by_arrival,
     minutes_of,
     sliding_hour_of,
@@ -215,3 +217,86 @@ def test_state_session_keeps_settings(spark):
         assert state_session(spark, 3).conf.get(name) == kept
     finally:
         spark.conf.set(name, before)
+
+
+def beats_at(spark, folder, *times):
+    """A clock of one's own: these times, one file each."""
+    for time in times:
+        df = spark.createDataFrame([(time,)], "timestamp timestamp")
+        df.write.mode("append").parquet(str(folder))
+    return state_session(spark, 2).readStream.schema("timestamp timestamp").parquet(str(folder))
+
+
+def test_a_beat_closes_the_last_minute(spark, tmp_path):
+    """No transaction comes after; quiet minutes in which the clock beat are rows with 0."""
+    last = spark.read.parquet(EVENTS).agg(F.max(F.col("ts").cast("timestamp"))).first()[0]
+    beats = beats_at(spark, tmp_path / "beats", *[last + dt.timedelta(minutes=m) for m in (2, 3, 9)])
+    schema = spark.read.parquet(EVENTS).schema
+    session = state_session(spark, 2)
+    txns = classify(wire_rows(stream_parquet(session, EVENTS, schema)))
+    minutes = minutes_of(txns, beats=beats)
+    finish(start_minutes(minutes, str(tmp_path / "out"), str(tmp_path / "cp"), trigger=ONCE))
+    got = read_minutes(spark, str(tmp_path / "out")).drop("minute_date")
+    quiet = got.filter("ttl_txn_min = 0").orderBy("minute_ts").collect()
+    assert [(r.minute_ts - last.replace(second=0, microsecond=0)).seconds // 60 for r in quiet] == [2, 3]
+    assert {(r.approved_txn_min, r.approved_rate_min) for r in quiet} == {(0, 0.0)}
+    want = minute_rollup(events_batch(spark))
+    assert sorted(got.filter("ttl_txn_min > 0").collect()) == sorted(want.collect())
+
+
+def test_the_clock_beats(spark):
+    """The rate source's times reach the minutes."""
+    query = heartbeat(spark, 5).writeStream.format("memory").queryName("beats").start()
+    try:
+        query.awaitTermination(4)
+    finally:
+        query.stop()
+    times = [r.timestamp for r in spark.table("beats").collect()]
+    assert times and len(set(times)) == len(times)
+
+
+def test_rows_of_each_batch(spark, tmp_path):
+    """Three files, one a batch; the second repeats the first, the third comes too late."""
+    session = state_session(spark, 2)
+    log = BatchLog(session, str(tmp_path / "log"), every=2)
+    start = dt.datetime(2024, 3, 1)
+    for n, (first, day) in enumerate([(0, 5), (0, 5), (50, 1)]):
+        rows = [(f"t{first + i}", start + dt.timedelta(days=day, seconds=i)) for i in range(20)]
+        df = spark.createDataFrame(rows, "txn_id string, txn_time timestamp")
+        df.write.mode("append").parquet(str(tmp_path / "in"))
+        stream = stream_parquet(session, str(tmp_path / "in"), df.schema)
+        given = {f.name: F.lit(None).cast(f.dataType) for f in TRANSACTION if f.name not in df.columns}
+        unique = unique_transactions(stream).withColumns(given)
+        query = start_raw(unique, str(tmp_path / "out"), str(tmp_path / "cp"), name="unique", trigger=ONCE)
+        finish(query)
+        log.wait(query)
+        assert n < 2 or log.batches().count() >= 3
+    log.close()
+    got = sorted((r.rows_in, r.rows_out, r.rows_late) for r in log.batches().filter("rows_in > 0").collect())
+    assert got == [(20, 0, 0), (20, 0, 20), (20, 20, 0)]
+    assert {r.query for r in log.batches().collect()} == {"unique"}
+    # Without a path the newest are kept in memory.
+    memory = BatchLog(session, keep=1)
+    for n in range(2):
+        query = start_raw(
+            stream.withColumns(given), str(tmp_path / f"o{n}"), str(tmp_path / f"c{n}"), trigger=ONCE
+        )
+        finish(query)
+        memory.wait(query)
+    memory.close()
+    (row,) = memory.batches().collect()
+    assert (row.rows_in, row.rows_out, row.rows_late) == (60, 60, 0) and row.query == str(query.id)
+    with pytest.raises(ValueError, match="path"):
+        memory.save()
+
+
+def test_an_unknown_time_raises_in_a_stream_as_in_a_batch(spark, tmp_path):
+    rows = events_batch(spark).select("status", "txn_time").limit(20)
+    nulls = rows.withColumn("txn_time", F.when(F.col("txn_time").isNotNull(), None).cast("timestamp"))
+    rows.unionByName(nulls).write.parquet(str(tmp_path / "in"))
+    with pytest.raises(Exception, match="null txn_time"):
+        minute_rollup(spark.read.parquet(str(tmp_path / "in"))).collect()
+    stream = stream_parquet(state_session(spark, 2), str(tmp_path / "in"), rows.schema)
+    query = start_minutes(minutes_of(stream), str(tmp_path / "out"), str(tmp_path / "cp"), trigger=ONCE)
+    with pytest.raises(Exception, match="null txn_time"):
+        finish(query)
