@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from cardtide import schemas
 from cardtide.functions import (
     approved_only,
+    card_number,
+    card_provider,
     classify,
     decode_wire,
     encode_wire,
@@ -34,7 +36,7 @@ from cardtide.operators import (
     sliding_hour,
     with_previous,
 )
-from cardtide.plans.events import wire_rows
+from cardtide.plans.events import PROVIDERS, wire_rows
 from cardtide.plans.screening import screen, screened_minutes, to_transactions, unreadable
 from cardtide.scratch import new_folder
 from cardtide.sources.carried import read_chained, write_carry
@@ -223,6 +225,57 @@ def basket_amounts(spark, sf_dir):
     return totals.withColumn("amount", F.col("amount").cast("double"))
 
 
+def _segment_shares(spark, sf_dir) -> DataFrame:
+    """Market segments' cumulative shares of the customers: five rows."""
+    counts = _table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.orderBy("c_mktsegment")
+    running = counts.withColumns(
+        {"upto": F.sum("n").over(order), "total": F.sum("n").over(Window.partitionBy())}
+    )
+    return running.select(
+        (F.col("upto").cast("double") / F.col("total")).alias("cum"),
+        F.col("c_mktsegment").alias("merchant"),
+    )
+
+
+def _basket_rows(spark, sf_dir) -> DataFrame:
+    """Wire rows of baskets: merchant and place dealt out by shares, items from the lines."""
+    orders = _table(_utc(spark), sf_dir, "orders")
+    u = (F.col("l_orderkey") * 37 % 1000).cast("double") / 1000
+    baskets = _folded(spark, sf_dir).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    dealt = assign_weighted(
+        baskets.withColumn("u", u),
+        _segment_shares(spark, sf_dir),
+        labels={"merchant": "All Other"},
+    )
+    dealt = assign_weighted(dealt, _shares(spark, sf_dir), labels={"label": "All Other", "region": ""})
+    provider = card_provider(F.col("o_custkey") % PROVIDERS)
+    return dealt.select(
+        card_number(provider, F.col("o_custkey")).alias("cc_no"),
+        provider.alias("cc_provider"),
+        F.col("o_orderdate").cast("timestamp").alias("txn_time"),
+        F.col("l_orderkey").cast("string").alias("txn_id"),
+        "merchant",
+        F.concat(F.lit("R"), F.col("region")).alias("location"),
+        F.col("label").alias("country"),
+        "items",
+        "amount",
+        (F.col("o_custkey") % 100).cast("int").alias("score"),
+    )
+
+
+def basket_messages(spark, sf_dir):
+    """Baskets out and in again: folded, labelled, encoded, decoded, judged, items added up."""
+    sent = encode_wire(_basket_rows(spark, sf_dir))
+    read = classify(decode_wire(sent))
+    kept = ["txn_id", "txn_time", "merchant", "location", "country", "amount", "status"]
+    items = explode_items(read, kept)
+    totals = items.groupBy(*kept).agg(
+        F.sum("price").cast("double").alias("items_total"), F.count(F.lit(1)).alias("n_items")
+    )
+    return _result(totals)
+
+
 # Minutes --------------------------------------------------------------------------
 
 
@@ -714,6 +767,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fold_baskets": fold_baskets,
         "items_roundtrip": items_roundtrip,
         "basket_amounts": basket_amounts,
+        "basket_messages": basket_messages,
         "minute_rollup": minute_rollup_query,
         "minute_rollup_compat": minute_rollup_compat,
         "previous_minute": previous_minute,
@@ -942,6 +996,23 @@ FROM entries GROUP BY l_orderkey""",
         "basket_amounts": f"""{_BASKETS}
 SELECT l_orderkey, CAST(sum(price) AS DOUBLE) AS amount, count(*) AS n_items
 FROM entries GROUP BY l_orderkey""",
+        "basket_messages": f"""{_SHARES},
+segments AS (
+  SELECT CAST(sum(n) OVER (ORDER BY c_mktsegment) AS DOUBLE) / sum(n) OVER () AS cum, c_mktsegment
+  FROM (SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY c_mktsegment)
+),
+baskets AS (
+  SELECT l_orderkey, CAST(l_orderkey * 37 % 1000 AS DOUBLE) / 1000 AS u, count(*) AS n_items,
+         CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+  FROM lineitem GROUP BY l_orderkey
+),
+sold AS (SELECT b.*, c_mktsegment AS merchant FROM baskets b ASOF LEFT JOIN segments ON u <= cum),
+dealt AS (SELECT s.*, label, region FROM sold s ASOF LEFT JOIN shares ON s.u <= shares.cum)
+SELECT CAST(l_orderkey AS VARCHAR) AS txn_id, CAST(o_orderdate AS TIMESTAMP) AS txn_time, merchant,
+       'R' || region AS location, label AS country, total AS amount,
+       CASE WHEN o_custkey % 100 < 5 THEN 'REJECTED' ELSE 'APPROVED' END AS status,
+       total AS items_total, n_items
+FROM dealt JOIN orders ON o_orderkey = l_orderkey""",
         "minute_rollup": minutes_sql,
         "minute_rollup_compat": f"""
 WITH {_COUNTS},

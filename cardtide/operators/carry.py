@@ -18,6 +18,8 @@ from cardtide.operators.minutes import minute_row
 
 MINUTES_PER_DAY = 1440
 START_DAY = -(1 << 40)
+# Ten years are 5 million minutes.
+MAX_DAYS = 3660
 
 
 def _day(minute: Column) -> Column:
@@ -197,9 +199,12 @@ def with_previous(
     return minutes.join(earlier, "minute_ts", "left").fillna(0, [f"prev_{c}" for c in columns])
 
 
-def fill_quiet_minutes(minutes: DataFrame, calendar: str = "iso") -> DataFrame:
+def fill_quiet_minutes(
+    minutes: DataFrame, calendar: str = "iso", max_days: int = MAX_DAYS
+) -> DataFrame:
     """Minute rows for every minute from the first to the last, quiet ones with 0.
 
+    Raises if that is more than ``max_days``, as after one stray time far from the others.
     Reads ``minutes`` twice (once for the two ends), so give it the stored minute
     table rather than a rollup still to be computed.
     """
@@ -207,8 +212,11 @@ def fill_quiet_minutes(minutes: DataFrame, calendar: str = "iso") -> DataFrame:
         epoch_minute(F.col("minute_ts")).alias("_m"), "ttl_txn_min", "approved_txn_min"
     )
     ends = numbered.agg(F.min("_m").alias("_lo"), F.max("_m").alias("_hi"))
+    span = _day(F.col("_hi")) - _day(F.col("_lo"))
+    apart = F.raise_error(F.concat(span.cast("string"), F.lit(f" days of minutes, over {max_days}")))
+    last = F.when(span > max_days, apart.cast("long")).otherwise(_day(F.col("_hi")))
     days = ends.select(
-        "_lo", "_hi", F.explode(F.sequence(_day(F.col("_lo")), _day(F.col("_hi")))).alias("_day")
+        "_lo", "_hi", F.explode(F.sequence(_day(F.col("_lo")), last)).alias("_day")
     ).repartition("_day")
     midnight = F.col("_day") * MINUTES_PER_DAY
     every = days.select(

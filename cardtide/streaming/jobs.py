@@ -111,15 +111,17 @@ def unique_transactions(
 ) -> DataFrame:
     """Drop repeats of ``key`` that come within ``delay`` of the first.
 
-    ``spread`` is any number that differs between copies, such as a topic offset. With
-    it copies are first dropped within ``ways`` shares of the stream, so a
-    transaction sent very many times does not all go to one task; the second pass sees
-    at most ``ways`` copies of it.
+    Copies are first dropped within ``ways`` shares of the stream, so a transaction sent very
+    many times does not all go to one task; the second pass sees at most ``ways`` copies of
+    it. Rows are dealt out at random, the same way if a task runs again, or by ``spread``, any
+    number that differs between copies, such as a topic offset. Either pass keeps a
+    row of state per recent key; ``ways=1`` saves the first where no key is hot.
     """
     marked = txns.withWatermark("txn_time", delay)
-    if spread is None:
+    if ways == 1:
         return marked.dropDuplicatesWithinWatermark([key])
-    shared = marked.withColumn("_share", F.pmod(spread, F.lit(ways)))
+    share = (F.rand(11) * ways).cast("int") if spread is None else F.pmod(spread, F.lit(ways))
+    shared = marked.withColumn("_share", share)
     first = shared.dropDuplicatesWithinWatermark([key, "_share"]).drop("_share")
     return first.dropDuplicatesWithinWatermark([key])
 

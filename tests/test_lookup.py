@@ -76,6 +76,9 @@ def test_several_labels_with_their_own_defaults(spark):
 def test_rows_are_not_shuffled_and_joined_by_hash(spark):
     out = assign_weighted(numbers_of(spark, [0.1]), bounds_of(spark, [(0.5, "A")]))
     plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    many = bounds_of(spark, [(i / 200, "A") for i in range(200)])
+    plan = assign_weighted(numbers_of(spark, [0.1]), many)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
@@ -112,3 +115,43 @@ def test_works_on_a_stream(spark, tmp_path, way):
     assert query.awaitTermination(120)
     got = spark.read.parquet(str(tmp_path / "out")).orderBy("id").select(F.col("label")).collect()
     assert [r.label for r in got] == ["A", "B"]
+
+
+def test_a_hot_cut_and_missing_numbers_are_spread(spark):
+    """A third of the rows on one cut, a third without a number, bounds too many to broadcast."""
+    bounds = spark.range(1, 3001).select(F.col("id").cast("double").alias("cum"), F.col("id").cast("string").alias("label"))
+    rows = spark.range(0, 90_000).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, 1500.5)
+        .when(F.col("id") % 3 == 1, (F.col("id") % 3100).cast("double"))
+        .alias("u"),
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = assign_weighted(rows, bounds, max_broadcast_bytes=0)
+        sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+        assert len(sizes) == 8 and sizes[-1] <= 3 * sizes[4]
+        wrong = out.filter(
+            F.col("label") != F.when(F.col("u") > 3000, "All Other")
+            .when(F.col("u").isNull(), "All Other")
+            .otherwise(F.greatest(F.ceil("u"), F.lit(1)).cast("string"))
+        )
+        assert out.count() == 90_000 and wrong.count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 63, 64, 65, 130])
+def test_any_number_of_bounds(spark, n):
+    rng = random.Random(n)
+    cums = sorted({round(rng.random(), 4) for _ in range(n)})
+    us = [rng.random() for _ in range(200)] + cums + [None, float("nan"), float("inf"), -1.0]
+    want = []
+    for u in us:
+        i = bisect.bisect_left(cums, u) if u is not None and u == u else len(cums)
+        want.append(f"L{i}" if i < len(cums) else "All Other")
+    assert labels(spark, [(c, f"L{i}") for i, c in enumerate(cums)], us, "broadcast") == want

@@ -180,3 +180,15 @@ def test_chain_carries_through_filled_minutes(spark):
     out = by_minute(chained_totals(fill_quiet_minutes(minutes)), "ttl_txn_hr")
     assert out[at(3999)] == (4,)
     assert out[at(4000)] == (5,)
+
+
+def test_a_stray_time_raises_instead_of_filling_centuries(spark):
+    rows = minute_rollup(
+        spark.createDataFrame(
+            [(dt.datetime(1970, 1, 1), "APPROVED"), (dt.datetime(2024, 3, 1), "APPROVED")],
+            "txn_time timestamp, status string",
+        )
+    )
+    with pytest.raises(Exception, match="19783 days of minutes, over 3660"):
+        fill_quiet_minutes(rows).count()
+    assert fill_quiet_minutes(rows, max_days=20_000).count() == 19_783 * 1440 + 1
