@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import base64
 import functools
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from cardtide.llm.common import stored
@@ -20,6 +20,8 @@ END_ID = 1
 SHARD_TOKENS = 2_000_000
 MEMO_WORDS = 400_000
 SEED_TERMS = 16
+# A task packs its shards one after the other.
+MAX_TASKS = 20_000
 K1, B = 1.2, 0.75
 SHORT, LONG = "<u2", "<u4"
 
@@ -34,17 +36,21 @@ def default_tokenizer() -> str:
 def encoder(path: str):
     """The byte-level BPE of a ``tokenizers`` file: a function from text to ids.
 
-    Its ids are those of ``Tokenizer.encode(text, add_special_tokens=False)`` with special
-    tokens as ordinary text. The ranks are read from the file and run by tiktoken, which is
+    Its ids are those of ``Tokenizer.encode(text, add_special_tokens=False)`` for text that
+    spells no added token. The ranks are read from the file and run by tiktoken, which is
     several times faster on words not seen before.
     """
     import public_tokenizers
     import tiktoken
 
     with open(path, encoding="utf8") as file:
-        model = json.load(file)["model"]
+        whole = json.load(file)
+    model = whole["model"]
     if model["type"] != "BPE":
         raise ValueError("packing needs a byte-level BPE tokenizer")
+    added = [t["id"] for t in whole["added_tokens"]]
+    if max([*model["vocab"].values(), *added]) >= 1 << 16:
+        raise ValueError("packing holds ids as 16-bit numbers; this vocabulary is larger")
     # Byte-level files spell each byte as one printable character.
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in set(plain)]
@@ -60,11 +66,14 @@ def encoder(path: str):
 
 
 class Memo(dict):
-    """The packed ids of a blank and a word, kept for the words seen lately."""
+    """The packed ids of a blank and a word, kept for the words seen lately.
 
-    def __init__(self, encode):
+    ``marks`` finds an added token of the tokenizer spelt out in a text, which ``whole`` then encodes.
+    """
+
+    def __init__(self, encode, marks: re.Pattern | None = None, whole=None):
         super().__init__()
-        self.encode = encode
+        self.encode, self.marks, self.whole = encode, marks, whole
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= MEMO_WORDS:
@@ -73,13 +82,28 @@ class Memo(dict):
         return ids
 
 
+@functools.cache
+def memo_of(path: str) -> Memo:
+    """One memo per tokenizer and Python worker: tasks that follow each other share it."""
+    from tokenizers import Tokenizer
+
+    with open(path, encoding="utf8") as file:
+        added = [t["content"] for t in json.load(file)["added_tokens"]]
+    marks = re.compile("|".join(map(re.escape, added))) if added else None
+    tokenizer = Tokenizer.from_file(path)
+    return Memo(encoder(path), marks, lambda t: tokenizer.encode(t, add_special_tokens=False).ids)
+
+
 def encode_text(text: str, memo: Memo) -> bytes:
     """Ids of a text as little-endian 16-bit numbers.
 
     A blank between two characters that are not white space always begins a new piece for
     the tokenizer, so the text may be cut there and each word looked up. Where a word is
-    empty or ends in white space the text is encoded as one.
+    empty or ends in white space the text is encoded as one, and so it is, by the tokenizer
+    itself, where it spells an added token.
     """
+    if memo.marks is not None and memo.marks.search(text):
+        return np.array(memo.whole(text), LONG).astype(SHORT).tobytes()
     words = text.split(" ")
     if len(words) < 3 or any(not w or w[-1].isspace() for w in words):
         return np.array(memo.encode(text), LONG).astype(SHORT).tobytes()
@@ -97,7 +121,7 @@ def _tokenized(docs: DataFrame, path: str) -> DataFrame:
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, df = Memo(encoder(path)), np.zeros(1 << 16, np.int64)
+        memo, df = memo_of(path), np.zeros(1 << 16, np.int64)
         end = np.array([END_ID], SHORT).tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -146,12 +170,16 @@ def pack(
     document of its own, also where rows or ids repeat; a null doc_id stays null. An empty
     table gives no pieces. Other columns are not read.
 
-    Documents are dealt to shards of about ``shard_tokens`` tokens by a hash of their
-    content, so no source makes a large shard. A shard has a BM25 index whose terms are
+    Documents that share rare ids come to lie together, in the order of two weighted MinHash
+    keys (an id wins by its squared inverse document frequency, so two documents agree on
+    a key as often as their weighted sets of ids overlap), at any size of the corpus. Ranges of
+    that order are cut into shards of about ``shard_tokens`` tokens; a key that very many documents
+    have is split like any other stretch. A shard has a BM25 index whose terms are
     token ids, with document counts of the whole corpus (one number per id of the
     vocabulary, which bounds what is broadcast). What is left of a seed document after its
     full windows opens a window; the best unused neighbours of the seed fill it, the last of them is
-    cut, and its rest is the next seed. So all windows are full, but for the last of each
+    cut, and its rest is the next seed. Neighbours are sought by the seed's rarest ids first, then
+    by four times as many, up to all. So all windows are full, but for the last of each
     shard, which is cut into powers of two.
     """
     spark = docs.sparkSession
@@ -159,7 +187,6 @@ def pack(
     counts = rows.filter(F.col("term").isNotNull()).groupBy("term").agg(F.sum("df").alias("df"))
     texts = rows.filter(F.col("ids").isNotNull())
     n_docs, n_tokens = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    shards = max(1, -(-n_tokens // shard_tokens))
     df = np.zeros(1 << 16, np.int64)
     for term, n in counts.collect():
         df[term] = n
@@ -167,19 +194,60 @@ def pack(
     shared = spark.sparkContext.broadcast(idf)
     mean = n_tokens / max(1, n_docs)
 
-    def shard(key: tuple, part: pa.Table) -> pa.Table:
-        return _pack_shard(key[0].as_py(), part, shared.value, mean, window)
-
-    dealt = texts.select(
-        F.pmod(F.xxhash64("doc_id", "ids"), F.lit(shards)).alias("shard"), "doc_id", "ids"
-    )
-    return dealt.groupBy("shard").applyInArrow(
-        shard,
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 32
+        ids: list[int | None] = []
+        blobs: list[bytes] = []
+        held = 0
+        for batch in batches:
+            for doc_id, blob in zip(
+                batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True
+            ):
+                ids.append(doc_id)
+                blobs.append(blob)
+                held += len(blob) // 2
+                if held >= shard_tokens:
+                    made, first = _pack_shard(first, ids, blobs, shared.value, mean, window)
+                    yield from made.to_batches()
+                    ids, blobs, held = [], [], 0
+        if ids:
+            made, first = _pack_shard(first, ids, blobs, shared.value, mean, window)
+            yield from made.to_batches()
+
+    tasks = max(1, min(MAX_TASKS, -(-n_tokens // shard_tokens)))
+    order = ["key", "second", "spread", "at"]
+    dealt = _keyed(texts, shared).repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    return dealt.select("doc_id", "ids").mapInArrow(
+        run,
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
         "sequence_id long, offset long, ids binary",
     )
 
 
+def _keyed(texts: DataFrame, shared) -> DataFrame:
+    """Documents with two ids each that rare ids win most often, and what orders equal keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        races = [_race(shared.value, seed) for seed in (1, 2)]
+        for batch in batches:
+            blobs = [np.frombuffer(b, SHORT) for b in batch.column("ids").to_pylist()]
+            keys = [pa.array([int(x[race[x].argmin()]) for x in blobs], pa.int32()) for race in races]
+            yield pa.record_batch(
+                [batch.column("doc_id"), batch.column("ids"), *keys], names=["doc_id", "ids", "key", "second"]
+            )
+
+    keyed = texts.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, key int, second int")
+    return keyed.withColumns(
+        {"spread": F.xxhash64("ids", "doc_id"), "at": F.monotonically_increasing_id()}
+    )
+
+
+def _race(idf: np.ndarray, seed: int) -> np.ndarray:
+    """Per id a time of arrival, exponential with its squared inverse document frequency as rate."""
+    drawn = np.random.default_rng(seed).exponential(size=len(idf))
+    return drawn / np.maximum(idf.astype(float), 1e-6) ** 2
+
+
 class ShardIndex:
     """BM25 over the documents of a shard: postings in term order."""
 
@@ -199,11 +267,11 @@ class ShardIndex:
         self.bounds = np.searchsorted(terms[order], np.arange((1 << 16) + 1))
         self.scores = np.zeros(len(docs), np.float32)
 
-    def neighbours(self, doc: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share a telling term with ``doc``, best first."""
+    def neighbours(self, doc: int, unused: np.ndarray, n_terms: int = SEED_TERMS) -> np.ndarray:
+        """Unused documents that share one of the ``n_terms`` rarest terms of ``doc``, best first."""
         terms = self.terms[doc]
-        if len(terms) > SEED_TERMS:
-            terms = terms[np.argpartition(-self.idf[terms], SEED_TERMS)[:SEED_TERMS]]
+        if len(terms) > n_terms:
+            terms = terms[np.argpartition(-self.idf[terms], n_terms)[:n_terms]]
         spans = [slice(self.bounds[t], self.bounds[t + 1]) for t in terms.tolist()]
         owners = np.concatenate([self.owner[s] for s in spans])
         np.add.at(self.scores, owners, np.concatenate([self.weight[s] for s in spans]))
@@ -215,10 +283,9 @@ class ShardIndex:
 
 
 def _pack_shard(
-    number: int, part: pa.Table, idf: np.ndarray, mean: float, window: int
-) -> pa.Table:
-    ids = part.column("doc_id").to_pylist()
-    blobs = part.column("ids").to_pylist()
+    first: int, ids: list, blobs: list[bytes], idf: np.ndarray, mean: float, window: int
+) -> tuple[pa.Table, int]:
+    """The pieces of a shard, sequences numbered from ``first``, and the number after the last."""
     # The same order in every run, whatever order the rows came in.
     order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, blobs[i]))
     ids, docs = [ids[i] for i in order], [np.frombuffer(blobs[i], SHORT) for i in order]
@@ -255,16 +322,20 @@ def _pack_shard(
         if start == len(docs[seed]):
             continue
         take(seed, start)
-        for doc in index.neighbours(seed, unused).tolist():
-            unused[doc] = False
-            end = take(doc, 0)
-            if end < len(docs[doc]) or filled == 0:
-                carried = (doc, end) if end < len(docs[doc]) else None
-                break
+        n_terms, closed = SEED_TERMS, False
+        while not closed:
+            for doc in index.neighbours(seed, unused, n_terms).tolist():
+                unused[doc] = False
+                end = take(doc, 0)
+                if end < len(docs[doc]) or filled == 0:
+                    carried = (doc, end) if end < len(docs[doc]) else None
+                    closed = True
+                    break
+            closed = closed or n_terms >= len(index.terms[seed])
+            n_terms *= 4
     pieces = _cut_last(pieces, sequence, filled)
     cut = [docs[d][s : s + n] for d, s, n, _, _ in pieces]
-    first = number << 32
-    return pa.table(
+    made = pa.table(
         {
             "doc_id": pa.array([ids[p[0]] for p in pieces], pa.int64()),
             "start": pa.array([p[1] for p in pieces], pa.int64()),
@@ -276,6 +347,7 @@ def _pack_shard(
             "ids": pa.array([c.tobytes() for c in cut], pa.binary()),
         }
     )
+    return made, first + 1 + max(p[3] for p in pieces)
 
 
 def _cut_last(pieces: list, sequence: int, filled: int) -> list:

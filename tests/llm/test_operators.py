@@ -521,11 +521,10 @@ def test_packing(spark):
 
     rng = random.Random(14)
     texts = [" ".join(words_of(rng, rng.randrange(1, 900), 3000)) for _ in range(120)] + [
-        *AWKWARD, "a  b\n c d", "\x1c x y z", "it's I'll 12,5 naïve 日本語 <|endoftext|> x", " lead", "trail ", "\n\n x\n y",
+        *AWKWARD, "a  b\n c d", "\x1c x y z", "it's I'll 12,5 naïve 日本語 <|endoftext|> x", "a <|endoftext|> b", "<|endoftext|>", " lead", "trail ", "\n\n x\n y",
     ]
     docs = docs_of(spark, texts)
     tokenizer = Tokenizer.from_file(packing.default_tokenizer())
-    tokenizer.encode_special_tokens = True
     ids = [np.array([*e.ids, 1], "<u4") for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
     pieces = packing.pack(docs, shard_tokens=40_000).collect()
     by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
@@ -559,5 +558,38 @@ def test_neighbours_are_related():
     assert index.neighbours(0, unused).tolist() == [2, 4]
 
 
-def test_sha_of_nothing():
-    assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+def test_all_terms_of_a_seed_count():
+    """The rarest terms of the seed are nobody else's; a neighbour by another term still comes."""
+    docs = [np.arange(100, 160, dtype="<u2"), np.array([3], "<u2"), np.array([159, 7], "<u2")]
+    idf = np.linspace(9, 1, 1 << 16).astype(np.float32)
+    index = packing.ShardIndex(docs, idf, 20.0)
+    unused = np.array([False, True, True])
+    assert index.neighbours(0, unused).tolist() == []
+    assert index.neighbours(0, unused, 64).tolist() == [2]
+    blobs = [d.tobytes() for d in docs]
+    made, after = packing._pack_shard(5, [0, 1, 2], blobs, idf, 20.0, 61)
+    assert [p["doc_id"] for p in made.to_pylist() if p["sequence_id"] == 5] == [0, 2]
+    assert after == max(p["sequence_id"] for p in made.to_pylist()) + 1
+
+
+@pytest.mark.parametrize("copies", [1, 4])
+def test_related_documents_meet_at_any_size(spark, copies):
+    """Pairs that share rare words lie in one shard as often when there are more shards."""
+    rng = random.Random(4)
+    texts = []
+    for pair in range(60 * copies):
+        rare = [f"{pair:x}q{rng.randrange(10**6)}z" for _ in range(40)]
+        texts += [" ".join([*rare, *words_of(rng, 30)]) for _ in range(2)]
+    pieces = packing.pack(docs_of(spark, texts), window=256, shard_tokens=8_000)
+    shard = {r.doc_id: r.sequence_id >> 32 for r in pieces.collect()}
+    assert len(set(shard.values())) >= 3 * copies
+    met = sum(shard[i] == shard[i + 1] for i in range(0, len(texts), 2))
+    assert met >= 0.6 * len(texts) / 2
+
+
+def test_equal_rows_are_split_over_tasks(spark):
+    docs = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("w " * 60).alias("text"))
+    pieces = packing.pack(docs, shard_tokens=20_000)
+    sizes = [r["n"] for r in pieces.groupBy(F.shiftright("sequence_id", 32)).agg(F.sum("length").alias("n")).collect()]
+    assert len(sizes) >= 6 and max(sizes) <= 3 * sorted(sizes)[len(sizes) // 2]
+    assert sum(sizes) == pieces.agg(F.sum("length")).first()[0]
