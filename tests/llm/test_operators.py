@@ -259,7 +259,7 @@ def test_url_counts_cover_all_rows(spark):
 def kept_lines(texts):
     """All pairs of lines compared, in document order."""
     sets, members = {}, {}
-    found = lambda s: frozenset(re.findall(lines.SHINGLE, s))
+    found = lambda s: frozenset(s[i : i + 12] for i in range(max(1, len(s) - 11)))
     every = [s for t in texts for s in (t or "").split("\n") if len(s.strip(" ")) >= lines.MIN_CHARS]
     names = list(dict.fromkeys(s for s in every if found(s)))
     root = {s: s for s in names}
@@ -313,6 +313,43 @@ def test_line_dedup(spark):
     assert lines.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_lines_without_blanks(spark):
+    """Something put in moves no other shingle, in texts without words, too."""
+    rng = random.Random(9)
+    kana = "".join(chr(0x3041 + rng.randrange(80)) for _ in range(75))
+    other = "".join(chr(0x3041 + rng.randrange(80)) for _ in range(75))
+    url = "http://" + "".join(rng.choice("abcdef0123456789/") for _ in range(150))
+    coded = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEF0123456789+/") for _ in range(400))
+    texts = [kana, "\u3042" + kana, kana + "\u3042", other, url, "x" + url, url + "x",
+             coded, coded[:200] + "!" + coded[200:], coded[3:]]
+    got = [r.text for r in lines.dedup_lines(docs_of(spark, texts)).orderBy("doc_id").collect()]
+    assert got == kept_lines(texts)[0]
+    assert [i for i, t in enumerate(got) if t] == [0, 3, 4, 7]
+
+
+def test_templated_lines(spark):
+    """Clusters that share a frame stand in each other's buckets; every link counts."""
+    rng = random.Random(12)
+    frame = [words_of(rng, 9, 10**6) for _ in range(2)]
+    texts = []
+    for _ in range(200):
+        middle = words_of(rng, 14, 10**6)
+        for _ in range(4):
+            middle[rng.randrange(14)] += "s"
+            texts.append(" ".join([*frame[0], *middle, *frame[1]]))
+    rng.shuffle(texts)
+    got = [r.text for r in lines.dedup_lines(docs_of(spark, texts)).orderBy("doc_id").collect()]
+    assert got == kept_lines(texts)[0]
+
+
+def test_line_dedup_with_names_of_its_own(spark):
+    line = "one line that stands twice in this table"
+    rows = [(1, line, "mine", 5, "x"), (2, line, "mine", 6, "y"), (None, line, "z", 7, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, removed string, _removed_from int, given string")
+    got = sorted((tuple(r) for r in lines.dedup_lines(docs).collect()), key=str)
+    assert got == sorted([rows[0], (2, "", "mine", 6, "y"), rows[2]], key=str)
+
+
 # N-gram join --------------------------------------------------------------------------------
 
 
