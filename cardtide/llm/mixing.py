@@ -117,7 +117,10 @@ def source_targets(
     before = F.coalesce(
         F.sum("full").over(by_reach.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)
     )
-    onward = F.sum("weight").over(by_reach.rowsBetween(0, Window.unboundedFollowing))
+    behind = F.coalesce(
+        F.sum("weight").over(by_reach.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)
+    )
+    onward = F.sum("weight").over(Window.partitionBy()) - behind
     everything = F.sum("source_size").over(Window.partitionBy()) * F.lit(float(share))
     read = ranked.withColumn("level", (everything - before) / onward).withColumn(
         "place", F.row_number().over(by_reach)
@@ -135,7 +138,7 @@ def source_targets(
         .withColumn("epochs", epochs)
         .withColumn(
             "rest",
-            F.floor(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long"),
+            F.round(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long"),
         )
     )
 
@@ -143,28 +146,23 @@ def source_targets(
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The documents of a mix, with the columns of ``docs``: a document of n whole
     epochs stands n times, and once more if the mix also takes a part of it, then
-    whole. Rows that agree in doc_id, source and size are taken alike."""
+    whole. Rows that agree in doc_id, source and size are taken alike. Other columns may have
+    any names."""
     taken = mix(docs, **how)
     copies = F.ceil(F.try_divide(F.col("taken"), F.col("size"))).cast("int")
     plan = (
         taken.groupBy("doc_id", "source", "size")
         .agg(F.max("taken").alias("taken"))
-        .select(
-            F.col("doc_id").alias("_mix_id"),
-            F.col("source").alias("_mix_source"),
-            F.col("size").alias("_mix_size"),
-            copies.alias("_mix_copies"),
-        )
-        .filter(F.col("_mix_copies") > 0)
+        .select("doc_id", "source", "size", copies.alias("copies"))
+        .filter(F.col("copies") > 0)
     )
-    plan = small(stored(plan, "copies"))
+    plan = small(stored(plan, "copies")).alias("plan")
+    # The caller's row travels in a struct of its own, so that no name meets one of these.
+    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("given"))
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_mix_id"))
-        & F.col("source").eqNullSafe(F.col("_mix_source"))
-        & (words(F.col("text")) == F.col("_mix_size"))
-    )
-    return (
-        docs.join(plan, same)
-        .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        F.col("given.doc_id").eqNullSafe(F.col("plan.doc_id"))
+        & F.col("given.source").eqNullSafe(F.col("plan.source"))
+        & (words(F.col("given.text")) == F.col("plan.size"))
     )
+    each = given.join(plan, same).select("given", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return each.select(*[F.col(f"given.`{c}`").alias(c) for c in docs.columns])

@@ -361,21 +361,25 @@ def similar_documents(
 def one_of_each_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One row of each group of rows that link over any way, the one of the smallest doc_id.
 
-    Columns stay as they are. Every row is a document of its own, also where doc_ids repeat or
-    are null; a row with a doc_id comes before one without.
+    Columns stay as they are, whatever their names. Every row is a document of its own, also where
+    doc_ids repeat or are null; a row with a doc_id comes before one without.
     """
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    texts = rows.select(F.col("_row").alias("doc_id"), "text")
+    given = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("given")
+    rows = stored(docs.select(given, F.monotonically_increasing_id().alias("row")), "rows")
+    texts = rows.select(F.col("row").alias("doc_id"), F.col("given.text").alias("text"))
     classes = similar_documents(texts, width, percent).select(
-        F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")
+        F.col("doc_id").alias("row"), F.col("component_id").alias("group")
     )
-    placed = stored(rows.select("_row", "doc_id").join(classes, "_row"), "placed")
-    first = placed.groupBy("_group").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).getField("_row").alias("_first")
+    placed = rows.select("row", F.col("given.doc_id").alias("doc_id")).join(classes, "row")
+    placed = stored(placed, "placed")
+    first = placed.groupBy("group").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).getField("row").alias("first")
+    )
+    gone = placed.join(first, "group").filter(F.col("row") != F.col("first"))
+    gone = small(stored(gone.select("row"), "gone"), 1_000_000)
+    return rows.join(gone, "row", "left_anti").select(
+        *[F.col(f"given.`{c}`").alias(c) for c in docs.columns]
     )
-    gone = placed.join(first, "_group").filter(F.col("_row") != F.col("_first"))
-    gone = small(stored(gone.select(F.col("_row")), "gone"), 1_000_000)
-    return rows.join(gone, "_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _common(read: DataFrame, n_docs: int) -> tuple[np.ndarray, np.ndarray]:

@@ -112,27 +112,31 @@ def _suspicious(text: Column, kinds: Sequence[str]) -> Column:
     return F.greatest(*tests) if len(tests) > 1 else tests[0]
 
 
-def _matches(text: Column, kind: int, pattern: str, good) -> Column:
-    """Matches of a pattern in order: ``kind, place, gap`` before it, ``width``, ``ok``."""
-    hit = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    rows = F.zip_with(
-        F.sequence(F.lit(1), F.size(hit)),
-        F.slice(gaps, F.lit(1), F.size(hit)),
-        lambda i, gap: F.struct(
-            F.lit(kind).alias("kind"),
-            i.alias("place"),
-            F.length(gap).cast("long").alias("gap"),
-            F.length(F.element_at(hit, i)).cast("long").alias("width"),
-            good(F.element_at(hit, i), i).alias("ok"),
-        ),
-    )
-    return F.when(F.regexp_like(text, F.lit(pattern)), rows).otherwise(rows_of_none())
+def _hits(text: Column, pattern: str) -> tuple[Column, Column]:
+    """Matches of a pattern, and the texts before each of them and behind the last."""
+    found = F.regexp_like(text, F.lit(pattern))
+    none = F.array().cast("array<string>")
+    hit = F.when(found, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none)
+    return hit, F.when(found, F.split(text, pattern, -1)).otherwise(none)
+
 
+def _matches(kind: int, hits: Column, gaps: Column, good: Column) -> Column:
+    """Rows of matches in order: ``kind, place, gap`` before it, ``width``, ``ok``.
 
-def rows_of_none() -> Column:
-    return F.array().cast(
-        "array<struct<kind:int,place:int,gap:bigint,width:bigint,ok:boolean>>"
+    All three are arrays worked out before, so that each match costs the same.
+    """
+    together = F.arrays_zip(
+        hits.alias("hit"), F.slice(gaps, F.lit(1), F.size(hits)).alias("gap"), good.alias("ok")
+    )
+    return F.transform(
+        together,
+        lambda m, i: F.struct(
+            F.lit(kind).alias("kind"),
+            (i + 1).alias("place"),
+            F.length(m["gap"]).cast("long").alias("gap"),
+            F.length(m["hit"]).cast("long").alias("width"),
+            m["ok"].alias("ok"),
+        ),
     )
 
 
@@ -153,8 +157,27 @@ def find_secrets(docs: DataFrame, ratio: Sequence[float], threshold: float = 0.2
     with very many matches costs in proportion. Texts do not leave the task that reads them.
     """
     text = F.coalesce("text", F.lit(""))
-    last = F.regexp_extract_all(text, F.lit(PATTERNS["assign"]), F.lit(2))
-    always = lambda hit, i: F.lit(True)
+    patterns = [PATTERNS["assign"], LONG_ENOUGH["access"], LONG_ENOUGH["hex"], CANDIDATE]
+    arrays = []
+    for kind, pattern in enumerate(patterns):
+        hits, gaps = _hits(text, pattern)
+        arrays += [hits.alias(f"hits{kind}"), gaps.alias(f"gaps{kind}")]
+    values = F.when(
+        F.regexp_like(text, F.lit(patterns[0])),
+        F.regexp_extract_all(text, F.lit(patterns[0]), F.lit(2)),
+    ).otherwise(F.array().cast("array<string>"))
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    # A one-element explode keeps the arrays in a step of their own, worked out once a text.
+    cut = numbered.select(
+        "row", "doc_id", F.explode(F.array(F.struct(*arrays, values.alias("values")))).alias("t")
+    ).select("row", "doc_id", "t.*")
+    always = lambda hits: F.transform(hits, lambda hit: F.lit(True))
+    good = [
+        F.transform("values", lambda value: F.length(value) >= ASSIGN_LEAST),
+        always(F.col("hits1")),
+        always(F.col("hits2")),
+        F.transform("hits3", lambda hit: F.coalesce(mean_ratio(hit, ratio) >= threshold, F.lit(False))),
+    ]
     found = F.concat(
         F.array(
             F.struct(
@@ -165,19 +188,9 @@ def find_secrets(docs: DataFrame, ratio: Sequence[float], threshold: float = 0.2
                 F.lit(True).alias("ok"),
             )
         ),
-        _matches(
-            text, 0, PATTERNS["assign"], lambda hit, i: F.length(F.element_at(last, i)) >= ASSIGN_LEAST
-        ),
-        _matches(text, 1, LONG_ENOUGH["access"], always),
-        _matches(text, 2, LONG_ENOUGH["hex"], always),
-        _matches(
-            text, 3, CANDIDATE, lambda hit, i: F.coalesce(mean_ratio(hit, ratio) >= threshold, F.lit(False))
-        ),
-    )
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    rows = numbered.select("row", "doc_id", F.explode(found).alias("m")).select(
-        "row", "doc_id", "m.*"
+        *[_matches(k, F.col(f"hits{k}"), F.col(f"gaps{k}"), good[k]) for k in range(len(patterns))],
     )
+    rows = cut.select("row", "doc_id", F.explode(found).alias("m")).select("row", "doc_id", "m.*")
     rows = rows.repartition("row")
     upto = (
         Window.partitionBy("row", "kind").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
@@ -191,7 +204,12 @@ def find_secrets(docs: DataFrame, ratio: Sequence[float], threshold: float = 0.2
     is_base = F.col("kind").between(0, 2)
     by_start = Window.partitionBy("row").orderBy("start")
     upto_here = by_start.rangeBetween(Window.unboundedPreceding, 0)
-    from_here = by_start.rangeBetween(0, Window.unboundedFollowing)
+    # Running from the end, the frame only grows.
+    from_here = (
+        Window.partitionBy("row")
+        .orderBy(F.col("start").desc())
+        .rangeBetween(Window.unboundedPreceding, 0)
+    )
     clear = (
         spans.withColumn("_left", F.max(F.when(is_base, F.col("end"))).over(upto_here))
         .withColumn("_right", F.min(F.when(is_base, F.col("start"))).over(from_here))

@@ -550,6 +550,39 @@ def test_mix_prefers_good_documents(spark):
     assert copies.columns == docs.columns and copies.count() >= 401
 
 
+def test_many_secrets_in_one_text_cost_in_proportion(spark):
+    """Eight times the matches take nowhere near 64 times as long."""
+    import time
+
+    rng = random.Random(3)
+    flat = [0.0] * secrets.SIDE**2
+
+    def seconds(n):
+        text = " ".join(f"{rng.randrange(16**40):040x} plain words" for _ in range(n))
+        start = time.perf_counter()
+        (row,) = secrets.find_secrets(docs_of(spark, [text]), flat).collect()
+        assert len([s for s in row.spans if s.kind == 2]) == n
+        return time.perf_counter() - start
+
+    seconds(10)
+    few = seconds(500)
+    assert seconds(4000) < 8 * few + 20
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Names that the stages once used themselves stay the caller's."""
+    names = ["_row", "_group", "_mix_id", "_mix_copy", "_mix_copies", "row", "given", "copies", "removed"]
+    texts = ["a b c d e f g h i j k l m n o p", "A b c d e f g h i j k l m n o p", None, "", "x y z"]
+    rows = [(i if i != 3 else None, t, "s", *[f"{n}{i}" for n in names]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    one = ngrams.one_of_each_group(docs)
+    assert one.columns == docs.columns
+    assert sorted((tuple(r) for r in one.collect()), key=str) == sorted([r for i, r in enumerate(rows) if i != 1], key=str)
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    assert {tuple(r) for r in mixed.collect()} <= set(rows) and mixed.count() > 2
+
+
 # Packing ------------------------------------------------------------------------------------
 
 
