@@ -5,8 +5,10 @@ from __future__ import annotations
 import functools
 import json
 import re
+import sys
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +20,6 @@ from cardtide.llm.common import stored
 WINDOW = 2048
 END_ID = 1
 SHARD_TOKENS = 2_000_000
-MEMO_WORDS = 400_000
 SEED_TERMS = 16
 # A task packs its shards one after the other.
 MAX_TASKS = 20_000
@@ -33,23 +34,24 @@ def default_tokenizer() -> str:
 
 
 @functools.cache
-def encoder(path: str):
-    """The byte-level BPE of a ``tokenizers`` file: a function from text to ids.
+def encoder(path: str) -> Callable[[str], bytes]:
+    """From a text to its ids, as little-endian 16-bit numbers, by a byte-level BPE file.
 
-    Its ids are those of ``Tokenizer.encode(text, add_special_tokens=False)`` for text that
-    spells no added token. The ranks are read from the file and run by tiktoken, which is
-    several times faster on words not seen before.
+    The ids are those of ``Tokenizer.encode(text, add_special_tokens=False)``. The ranks are read
+    from the file and run by tiktoken, which is several times faster; a text that spells
+    an added token goes through the tokenizer itself. One encoder serves all tasks of a worker.
     """
     import public_tokenizers
     import tiktoken
+    from tokenizers import Tokenizer
 
     with open(path, encoding="utf8") as file:
         whole = json.load(file)
     model = whole["model"]
     if model["type"] != "BPE":
         raise ValueError("packing needs a byte-level BPE tokenizer")
-    added = [t["id"] for t in whole["added_tokens"]]
-    if max([*model["vocab"].values(), *added]) >= 1 << 16:
+    added = {t["content"]: t["id"] for t in whole["added_tokens"]}
+    if max([*model["vocab"].values(), *added.values()]) >= 1 << 16:
         raise ValueError("packing holds ids as 16-bit numbers; this vocabulary is larger")
     # Byte-level files spell each byte as one printable character.
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -58,57 +60,27 @@ def encoder(path: str):
     ranks = {
         bytes(byte_of[c] for c in token): rank
         for token, rank in model["vocab"].items()
-        if all(c in byte_of for c in token) and not token.startswith("<|")
+        if all(c in byte_of for c in token) and token not in added
     }
-    return tiktoken.Encoding(
+    fast = tiktoken.Encoding(
         "words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-    ).encode_ordinary
-
-
-class Memo(dict):
-    """The packed ids of a blank and a word, kept for the words seen lately.
-
-    ``marks`` finds an added token of the tokenizer spelt out in a text, which ``whole`` then encodes.
-    """
-
-    def __init__(self, encode, marks: re.Pattern | None = None, whole=None):
-        super().__init__()
-        self.encode, self.marks, self.whole = encode, marks, whole
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        ids = self[word] = np.array(self.encode(" " + word), LONG).astype(SHORT).tobytes()
-        return ids
-
-
-@functools.cache
-def memo_of(path: str) -> Memo:
-    """One memo per tokenizer and Python worker: tasks that follow each other share it."""
-    from tokenizers import Tokenizer
-
-    with open(path, encoding="utf8") as file:
-        added = [t["content"] for t in json.load(file)["added_tokens"]]
+    )
     marks = re.compile("|".join(map(re.escape, added))) if added else None
     tokenizer = Tokenizer.from_file(path)
-    return Memo(encoder(path), marks, lambda t: tokenizer.encode(t, add_special_tokens=False).ids)
 
+    def encode(text: str) -> bytes:
+        if marks is not None and marks.search(text):
+            return _packed(tokenizer.encode(text, add_special_tokens=False).ids)
+        return _packed(fast.encode_ordinary(text))
 
-def encode_text(text: str, memo: Memo) -> bytes:
-    """Ids of a text as little-endian 16-bit numbers.
+    return encode
 
-    A blank between two characters that are not white space always begins a new piece for
-    the tokenizer, so the text may be cut there and each word looked up. Where a word is
-    empty or ends in white space the text is encoded as one, and so it is, by the tokenizer
-    itself, where it spells an added token.
-    """
-    if memo.marks is not None and memo.marks.search(text):
-        return np.array(memo.whole(text), LONG).astype(SHORT).tobytes()
-    words = text.split(" ")
-    if len(words) < 3 or any(not w or w[-1].isspace() for w in words):
-        return np.array(memo.encode(text), LONG).astype(SHORT).tobytes()
-    first = np.array(memo.encode(words[0]), LONG).astype(SHORT).tobytes()
-    return first + b"".join(map(memo.__getitem__, words[1:]))
+
+def _packed(ids: list[int]) -> bytes:
+    numbers = array("H", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
 
 
 def _tokenized(docs: DataFrame, path: str) -> DataFrame:
@@ -121,12 +93,12 @@ def _tokenized(docs: DataFrame, path: str) -> DataFrame:
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, df = memo_of(path), np.zeros(1 << 16, np.int64)
+        encoded, df = encoder(path), np.zeros(1 << 16, np.int64)
         end = np.array([END_ID], SHORT).tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids = [encode_text(t or "", memo) + end for t in part.column("text").to_pylist()]
+                ids = [encoded(t or "") + end for t in part.column("text").to_pylist()]
                 for x in ids:
                     df[np.unique(np.frombuffer(x, SHORT))] += 1
                 n = len(ids)
