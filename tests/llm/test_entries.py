@@ -48,3 +48,29 @@ def test_pipeline(spark):
     kept = {r.doc_id for r in corpus_pipeline.toxicity(spark, docs, SF_DIR).select("doc_id").collect()}
     assert len(kept & clean) >= 0.97 * len(clean)
     assert len(kept & toxic) <= 0.5 * len(toxic)
+
+
+@pytest.mark.parametrize("rows", ["awkward", "none"])
+def test_pipeline_on_awkward_rows(spark, tmp_path, rows):
+    """Null and repeated ids, empty, long and equal texts, names of the stages' own; no rows at all."""
+    texts = [None, "", " \n\t", "one", "one", "long " * 20_000, "a b c d e f g h i j\n" * 3, "ü" * 300]
+    names = "given string, row string, removed string, copies string, _row string, _mix_id string"
+    given = [
+        (None if i % 3 == 2 else i // 2, t, "en", "s" if i % 2 else None, len(t or ""), *["mine"] * 6)
+        for i, t in enumerate(texts * 2)
+    ]
+    docs = spark.createDataFrame(
+        given if rows == "awkward" else [],
+        "doc_id long, text string, lang string, source string, n_chars long, " + names,
+    )
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{SF_DIR}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
+    current = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        current = stage(spark, current, str(tmp_path))
+        assert current.columns == docs.columns, name
+        kept = current.collect()
+        assert {(r.given, r.row, r.removed, r.copies, r._row, r._mix_id) for r in kept} <= {("mine",) * 6}
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert bool(packed) == (rows == "awkward")
+    assert all(p.length >= 1 and p.offset + p.length <= 2048 for p in packed)
