@@ -26,7 +26,7 @@ def test_query_equals_its_sql(spark, con, name):
     assert compare(got, con.sql(entries.oracle_sql()[name]).df()) == ""
 
 
-@pytest.mark.parametrize("name", ["op4_line_dedup", "op7_secret_scan", "op8_chat_format", "op9_source_mix"])
+@pytest.mark.parametrize("name", ["op7_secret_scan", "op8_chat_format", "op9_source_mix"])
 def test_native_queries_run_no_python(spark, name):
     plan = entries.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     for slow in ("PythonUDF", "InPandas", "InArrow", "ArrowEval", "CartesianProduct", "NestedLoopJoin"):
