@@ -9,7 +9,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from cardtide.llm.common import small, stored
 
 BITS = 22
 MOST_FEATURES = 5000
@@ -64,16 +66,14 @@ def _labelled_sample(
 ) -> DataFrame:
     """Up to ``max_per_grade`` labelled texts of each grade, taken by a hash of the id."""
     graded = grades.na.drop().groupBy("doc_id").agg(F.max("grade").alias("grade"))
-    levels = [r[0] for r in graded.select("grade").distinct().orderBy("grade").limit(64).collect()]
-    by_hash = F.xxhash64(F.lit(seed), "doc_id")
-    chosen = None
-    for level in levels:
-        some = graded.filter(F.col("grade") == level).orderBy(by_hash, "doc_id").limit(max_per_grade)
-        chosen = some if chosen is None else chosen.unionByName(some)
-    if chosen is None:
-        return docs.select("doc_id", "text", F.lit(0).alias("grade")).limit(0)
-    # At most 64 grades of max_per_grade ids: bounded, so they may be broadcast.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    by_hash = Window.partitionBy("grade").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
+    chosen = graded.withColumn("place", F.row_number().over(by_hash)).filter(
+        F.col("place") <= max_per_grade
+    )
+    chosen = small(stored(chosen.select("doc_id", "grade"), "chosen"))
+    # A doc_id that repeats gives one text.
+    texts = docs.select("doc_id", "text").join(chosen, "doc_id")
+    return texts.groupBy("doc_id", "grade").agg(F.min("text").alias("text"))
 
 
 def train_ordinal(

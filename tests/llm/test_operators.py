@@ -170,6 +170,17 @@ def test_neighbours_of_repeated_rows(spark):
 # Toxicity ---------------------------------------------------------------------------------
 
 
+def test_training_texts_of_every_grade(spark):
+    """Each grade gives its rows, whatever their number; a repeated doc_id gives one text."""
+    docs = docs_of(spark, [f"text {i}" for i in range(300)])
+    grades = spark.createDataFrame([(i, i % 100) for i in range(300)], "doc_id long, grade int")
+    got = toxicity._labelled_sample(docs.unionByName(docs), grades, 2, 1).collect()
+    assert len(got) == len({r.doc_id for r in got}) == 200
+    assert {r.grade for r in got} == set(range(100))
+    assert all(r.text == f"text {r.doc_id}" for r in got)
+    assert toxicity._labelled_sample(docs, grades.limit(0), 2, 1).count() == 0
+
+
 def test_toxicity_grades(spark):
     rng = random.Random(2)
     texts, grades = [], []
