@@ -166,7 +166,8 @@ def _linked(met: DataFrame, texts: DataFrame) -> DataFrame:
 
     Buckets of a few lines compare all of them, once. In the others every line meets leaders: a
     star, never all pairs. Those that still hold lines of different components then elect
-    others, twice as many each time, until a round finds no link.
+    others, twice as many each time, until a round finds no link; then all pairs of different
+    components left in them are compared.
     """
     held = met.groupBy("band").agg(F.count(F.lit(1)).alias("held"))
     large = small(stored(held.filter(F.col("held") > SMALL_BUCKET).select("band"), "large"))
@@ -184,9 +185,15 @@ def _linked(met: DataFrame, texts: DataFrame) -> DataFrame:
         pairs = _met_leaders(lines, turn).join(compared, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         found = stored(_alike(pairs, texts), "links")
+        compared = compared.unionByName(pairs)
         if found.isEmpty():
-            break
-        links, compared = links.unionByName(found), compared.unionByName(pairs)
+            # Leaders find no more: every pair of lines of different components that still share
+            # a bucket is compared once, so that no link is lost.
+            beside = lines.select("band", F.col("line_id").alias("other"), F.col("root").alias("its_root"))
+            rest = stored(_pairs(lines.join(beside, "band")).join(compared, ["a", "b"], "left_anti"), "pairs")
+            links = links.unionByName(stored(_alike(rest, texts), "links"))
+            return stored(components(links), "roots")
+        links = links.unionByName(found)
         roots = stored(components(links), "roots")
         turn += 1
     return roots
@@ -257,7 +264,7 @@ def dedup_lines(
     runs of 12 characters have a Jaccard similarity of 0.8 or more. Candidates come from 9 bands of 3
     minhashes of those sets (99.8 % at 0.8); each is verified exactly, and a distributed union-find
     joins them. Signatures and the comparison are numpy in Arrow batches, the rest is DataFrames. Buckets of up to 32 lines are compared in full; in larger ones lines meet 32 leaders, then 64
-    others, and so on until a round finds no link. The line that stays is the first in the document with the smallest doc_id that
+    others, and so on until a round finds no link, then all pairs of lines of different components left in one bucket. The line that stays is the first in the document with the smallest doc_id that
     has one. Lines of fewer than ``min_chars`` characters beside blanks stay, as headings,
     brackets and empty lines do.
 
