@@ -177,8 +177,7 @@ def _linked(met: DataFrame, texts: DataFrame) -> DataFrame:
     beside = few.select("band", F.col("line_id").alias("other"), F.col("root").alias("its_root"))
     first = _met_leaders(crowd.withColumn("root", F.col("line_id")), 0)
     compared = stored(_pairs(few.join(beside, "band")).unionByName(first).distinct(), "pairs")
-    links = stored(_alike(compared, texts), "links")
-    roots = stored(components(links), "roots")
+    roots = stored(components(_alike(compared, texts)), "roots")
     turn = 1
     while not crowd.isEmpty():
         crowd, lines = _open_lines(crowd, roots)
@@ -191,14 +190,19 @@ def _linked(met: DataFrame, texts: DataFrame) -> DataFrame:
             # a bucket is compared once, so that no link is lost.
             beside = lines.select("band", F.col("line_id").alias("other"), F.col("root").alias("its_root"))
             rest = stored(_pairs(lines.join(beside, "band")).join(compared, ["a", "b"], "left_anti"), "pairs")
-            links = links.unionByName(stored(_alike(rest, texts), "links"))
-            return stored(components(links), "roots")
-        links = links.unionByName(found)
-        roots = stored(components(links), "roots")
+            return _joined(roots, stored(_alike(rest, texts), "links"))
+        roots = _joined(roots, found)
         turn += 1
     return roots
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The components of ``roots`` joined by new ``links``: each node's edge to its root stands
+    for all links found before, so the union-find only walks the new ones."""
+    known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return stored(components(known.unionByName(links)), "roots")
+
+
 def _open_lines(met: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The lines of buckets that hold more than one component, without and with their ``root``."""
     placed = met.join(small(roots), F.col("line_id") == F.col("node"), "left").select(
@@ -215,16 +219,18 @@ def _open_lines(met: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]
 
 
 def _met_leaders(lines: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each line and its bucket's leaders of this turn, the least under several orders."""
+    """Pairs of each line and its bucket's leaders of this turn: the lines of least hash.
+
+    One ranking per bucket, limited within each partition before the shuffle, however many leaders.
+    """
     n = LEADERS << turn
-    orders = [F.xxhash64(F.lit(n + i), "line_id") for i in range(n)]
-    leaders = lines.groupBy("band").agg(
-        F.array(*[F.min(F.struct(h.alias("h"), "line_id", "root")) for h in orders]).alias("leaders")
-    )
-    leaders = leaders.select("band", F.explode("leaders").alias("leader")).select(
-        "band", F.col("leader.line_id").alias("other"), F.col("leader.root").alias("its_root")
+    order = Window.partitionBy("band").orderBy(F.xxhash64(F.lit(turn), "line_id"), "line_id")
+    leaders = (
+        lines.withColumn("rank", F.row_number().over(order))
+        .filter(F.col("rank") <= n)
+        .select("band", F.col("line_id").alias("other"), F.col("root").alias("its_root"))
     )
-    return _pairs(lines.join(leaders.distinct(), "band"))
+    return _pairs(lines.join(leaders, "band"))
 
 
 def _pairs(met: DataFrame) -> DataFrame:
