@@ -14,7 +14,8 @@ from pyspark.sql.functions import pandas_udf
 
 from cardtide.llm.common import components, small, stored
 
-MEMO_WORDS = 500_000
+# Each Python worker keeps at most so many word hashes: some 7 MB beside the executor.
+MEMO_WORDS = 50_000
 ROWS_PER_BLOCK = 2048
 POSTINGS_PER_RANGE = 1_000_000
 # A shingle in more than one of so many documents comes last in the order of shingles.
