@@ -66,10 +66,14 @@ def encoder(path: str) -> Callable[[str], bytes]:
         "words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
     )
     marks = re.compile("|".join(map(re.escape, added))) if added else None
-    tokenizer = Tokenizer.from_file(path)
+    # Read at the first text that needs it: some 30 MB in each worker.
+    tokenizer = None
 
     def encode(text: str) -> bytes:
+        nonlocal tokenizer
         if marks is not None and marks.search(text):
+            if tokenizer is None:
+                tokenizer = Tokenizer.from_file(path)
             return _packed(tokenizer.encode(text, add_special_tokens=False).ids)
         return _packed(fast.encode_ordinary(text))
 
