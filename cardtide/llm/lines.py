@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,15 +18,19 @@ WIDTH = 12
 MIN_CHARS = 20
 # Of the 27 minhashes, so many must be equal before two texts are fetched: 99.9 % are at 0.8.
 LEAST_EQUAL = 14
-# Code points that a task hashes at a time.
-BLOCK = 1 << 20
+# Code points whose runs a task holds at a time, and of which it takes all minhashes at once: few
+# enough to stay in a core's cache.
+BLOCK, CACHED = 1 << 20, 1 << 16
 # Fills lines shorter than a run: no character.
 FILL = "\U0010ffff"
 # The order of each permutation: the hash with these bits turned.
 TURNED = np.random.RandomState(5).randint(0, 1 << 32, BANDS * ROWS, np.uint32)
-# Leaders of a bucket in the first round, and up to how many lines of a bucket are compared in full.
+# Leaders of a bucket in the first round.
 LEADERS = 32
-SMALL_BUCKET = 32
+# Lines, and characters of them, of a bucket that one task compares at once; larger ones are cut up.
+TILE, TILE_CHARS = 2048, 1 << 21
+# Lines whose places in the buckets a task deals out at a time, and places that one task sorts.
+POSTED, SORTED = 1 << 15, 1 << 19
 
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -59,26 +63,129 @@ def _texts(column: pa.Array) -> list[str]:
     return [str(x, "utf-8", "replace") for x in column.cast(pa.binary()).to_pylist()]
 
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The columns before ``line``, and ``least``: per permutation the least run of the line."""
+def _least(lines: list[str]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Stretches of the lines, and per line and permutation the least of its runs."""
+    at = 0
+    while at < len(lines):
+        end, held = at, 0
+        while end < len(lines) and (end == at or held + len(lines[end]) <= CACHED):
+            held += len(lines[end])
+            end += 1
+        runs, starts = _runs(lines[at:end])
+        high = (runs >> np.uint64(32)).astype(np.uint32)
+        least = [np.minimum.reduceat(high ^ t, starts) >> 1 for t in TURNED]
+        yield at, end, np.stack(least, axis=1).astype(np.int32)
+        at = end
+
+
+def _with_least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The columns with ``least`` behind them: per permutation the least run of the ``line``."""
     for batch in batches:
-        lines, at = _texts(batch.column("line")), 0
-        while at < len(lines):
-            end, held = at, 0
-            while end < len(lines) and (end == at or held + len(lines[end]) <= BLOCK):
-                held += len(lines[end])
-                end += 1
-            runs, starts = _runs(lines[at:end])
-            high = (runs >> np.uint64(32)).astype(np.uint32)
-            least = np.stack([np.minimum.reduceat(high ^ t, starts) >> 1 for t in TURNED], axis=1)
+        for at, end, least in _least(_texts(batch.column("line"))):
             places = np.arange(0, least.size + 1, len(TURNED), dtype=np.int32)
             rows = batch.slice(at, end - at)
             yield pa.record_batch(
-                [rows.column("line_id"), rows.column("first_doc"), rows.column("n"),
-                 pa.ListArray.from_arrays(places, least.astype(np.int32).ravel())],
-                names=["line_id", "first_doc", "n", "least"],
-            )
-            at = end
+                [*rows.columns, pa.ListArray.from_arrays(places, least.ravel())],
+                names=[*rows.schema.names, "least"],
+            )
+
+
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The columns before ``line``, and ``bands``: the numbers of the line's buckets, 8 bytes each."""
+    for batch in batches:
+        for at, end, least in _least(_texts(batch.column("line"))):
+            size = 8 * BANDS
+            places = pa.py_buffer(np.arange(0, size * (end - at) + 1, size, dtype=np.int32))
+            bands = pa.Array.from_buffers(
+                pa.binary(), end - at, [None, places, pa.py_buffer(_bands(least))]
+            )
+            rows = batch.slice(at, end - at)
+            yield pa.record_batch(
+                [rows.column("line_id"), rows.column("first_doc"), rows.column("n"), bands],
+                names=["line_id", "first_doc", "n", "bands"],
+            )
+
+
+def _bands(least: np.ndarray) -> np.ndarray:
+    """The number of each bucket of each line: a hash of the band and its minhashes."""
+    parts = least.astype(np.uint64).reshape(len(least), BANDS, ROWS)
+    bands = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(least), 1))
+    for r in range(ROWS):
+        bands = _mixed(bands * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, r])
+    return bands
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(30))
+    x = x * np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _dealt(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Per part of the buckets one row with all the lines of a stretch that stand in it, as bytes:
+    ``part, bands, lines``."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, ids = [], []
+        for batch in batches:
+            for at in range(0, batch.num_rows, POSTED):
+                rows = batch.slice(at, POSTED)
+                held.append(np.frombuffer(b"".join(rows.column("bands").to_pylist()), np.uint64))
+                ids.append(np.repeat(rows.column("line_id").to_numpy(), BANDS))
+                if sum(map(len, ids)) >= POSTED * BANDS:
+                    yield out(np.concatenate(held), np.concatenate(ids))
+                    held, ids = [], []
+        if held:
+            yield out(np.concatenate(held), np.concatenate(ids))
+
+    def out(bands: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        part = (bands % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        own, starts = np.unique(part[order], return_index=True)
+        ends = pa.py_buffer(np.append(starts, len(order)).astype(np.int32) * np.int32(8))
+        packed = [
+            pa.Array.from_buffers(pa.binary(), len(own), [None, ends, pa.py_buffer(x[order])])
+            for x in (bands, ids)
+        ]
+        return pa.record_batch([pa.array(own), *packed], names=["part", "bands", "lines"])
+
+    return deal
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The buckets of two lines and more: ``line_id, band``.
+
+    ``band`` is made of the lines in it, so buckets of the same lines have the same.
+    """
+    bands, ids = [], []
+    for batch in batches:
+        for held, name in ((bands, "bands"), (ids, "lines")):
+            held.append(np.frombuffer(b"".join(batch.column(name).to_pylist()), np.int64))
+    if not bands:
+        return
+    band, line = np.concatenate(bands), np.concatenate(ids)
+    order = np.argsort(band, kind="stable")
+    band, line = band[order], line[order]
+    starts = np.flatnonzero(np.append(True, band[1:] != band[:-1]))
+    sizes = np.diff(np.append(starts, len(band)))
+    # Only the lines of buckets that hold more than one.
+    inside = np.repeat(sizes > 1, sizes)
+    line, sizes = line[inside], sizes[sizes > 1]
+    if not len(sizes):
+        return
+    starts = np.append(0, np.cumsum(sizes)[:-1])
+    named = _mixed(np.add.reduceat(_mixed(line.view(np.uint64)), starts) + sizes.astype(np.uint64))
+    first = np.zeros(len(sizes), bool)
+    first[np.unique(named, return_index=True)[1]] = True
+    inside = np.repeat(first, sizes)
+    line, band = line[inside], np.repeat(named, sizes)[inside].view(np.int64)
+    for at in range(0, len(line), POSTED):
+        yield pa.record_batch(
+            [pa.array(line[at : at + POSTED]), pa.array(band[at : at + POSTED])],
+            names=["line_id", "band"],
+        )
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,6 +216,81 @@ def _near(one: np.ndarray, other: np.ndarray) -> bool:
     return both >= SIMILARITY * (len(one) + len(other) - both)
 
 
+def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links ``a, b`` that join the lines of each tile, of rows in order of their ``tile``.
+
+    As many as its components need: pairs of lines already joined, or of one ``root``, are not
+    compared. Lines of ``side`` 0 and 1 only meet the other side, those of side -1 each other.
+    """
+    rest = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if rest is None else pa.concat_tables([rest, rows])
+        tiles = rows.column("tile").to_numpy()
+        cut = int(np.searchsorted(tiles, tiles[-1])) if len(tiles) else 0
+        rest = rows.slice(cut)
+        yield from _linked_rows(rows.slice(0, cut))
+    if rest is not None:
+        yield from _linked_rows(rest)
+
+
+def _linked_rows(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    if not rows.num_rows:
+        return
+    rows = rows.combine_chunks()
+    ids, roots, tiles, sides = (rows.column(x).to_numpy() for x in ("line_id", "root", "tile", "side"))
+    least = np.concatenate([x.flatten().to_numpy() for x in rows.column("least").chunks])
+    least = least.reshape(len(ids), BANDS * ROWS)
+    bounds = np.append(np.flatnonzero(np.append(True, tiles[1:] != tiles[:-1])), len(ids))
+    size = rows.column("size").to_numpy()
+    open_pairs, wanted, held = [], set(), 0
+    for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+        pairs = _likely(least[low:high], roots[low:high], sides[low:high], low)
+        if pairs:
+            open_pairs.append((low, high, pairs))
+            new = {x for i, others in pairs for x in (i, *others.tolist())} - wanted
+            wanted |= new
+            held += int(size[list(new)].sum())
+        if held > BLOCK:
+            yield _compared(rows, ids, roots, open_pairs, sorted(wanted))
+            open_pairs, wanted, held = [], set(), 0
+    if open_pairs:
+        yield _compared(rows, ids, roots, open_pairs, sorted(wanted))
+
+
+def _likely(least: np.ndarray, roots: np.ndarray, sides: np.ndarray, low: int) -> list:
+    """Per line of a tile, the later ones of other roots that agree on ``LEAST_EQUAL`` minhashes."""
+    found = []
+    for i in range(len(least) - 1):
+        fit = np.count_nonzero(least[i + 1 :] == least[i], axis=1) >= LEAST_EQUAL
+        fit &= roots[i + 1 :] != roots[i]
+        if sides[i] >= 0:
+            fit &= sides[i + 1 :] != sides[i]
+        others = np.flatnonzero(fit)
+        if len(others):
+            found.append((low + i, others + (low + i + 1)))
+    return found
+
+
+def _compared(rows: pa.Table, ids: np.ndarray, roots: np.ndarray, tiles: list, wanted: list) -> pa.RecordBatch:
+    # A line that stands in several tiles is cut into runs once.
+    at = {ids[i]: i for i in wanted}
+    texts = _texts(rows.column("line").take(pa.array(list(at.values()))).combine_chunks())
+    runs, starts = _runs(texts)
+    sets = {key: np.unique(x) for key, x in zip(at, np.split(runs, starts[1:]), strict=True)}
+    a, b = [], []
+    for low, high, pairs in tiles:
+        labels = np.unique(roots[low:high], return_inverse=True)[1]
+        for i, others in pairs:
+            one = sets[ids[i]]
+            for j in others:
+                if labels[i - low] != labels[j - low] and _near(one, sets[ids[j]]):
+                    labels[labels == labels[j - low]] = labels[i - low]
+                    a.append(ids[i])
+                    b.append(ids[j])
+    return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
 def line_components(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """Lines that occur again, and where the first one of their kind stands.
 
@@ -122,20 +304,16 @@ def line_components(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         .select(F.xxhash64("line").alias("line_id"), "line", "first_doc", "n")
     )
     kept = [f for f in distinct.schema if f.name != "line"]
-    schema = StructType(kept).add("least", ArrayType(IntegerType()))
-    signed = stored(distinct.mapInArrow(_signed, schema), "signatures")
-    bands = [
-        F.xxhash64(F.lit(b), *[F.element_at("least", b * ROWS + r + 1) for r in range(ROWS)])
-        for b in range(BANDS)
-    ]
-    posted = signed.select("line_id", F.explode(F.array(*bands)).alias("band"))
-    buckets = (
-        posted.groupBy("band")
-        .agg(F.min("line_id").alias("low"), F.max("line_id").alias("high"))
-        .filter(F.col("low") < F.col("high"))
+    signed = stored(distinct.mapInArrow(_signed, StructType(kept).add("bands", "binary")), "signatures")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(parts, BANDS * signed.count() // SORTED)
+    met = (
+        signed.select("line_id", "bands")
+        .mapInArrow(_dealt(parts), "part int, bands binary, lines binary")
+        .repartition(parts, "part")
+        .mapInArrow(_buckets, "line_id long, band long")
     )
-    buckets = small(stored(buckets.select("band"), "buckets"), 2 * MAX_BROADCAST_ROWS)
-    met = stored(posted.join(buckets, "band").select("line_id", "band"), "met")
+    met = stored(met.distinct(), "met")
     held = met.select("line_id").distinct()
     held = small(stored(held, "held"), 2 * MAX_BROADCAST_ROWS)
     # Lines that share a bucket: fetched once, for whatever pairs of them are compared.
@@ -145,8 +323,8 @@ def line_components(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         .join(held, "line_id", "left_semi")
         .groupBy("line_id")
         .agg(F.min("line").alias("line"))
-        .join(signed.select("line_id", "least"), "line_id")
     )
+    texts = texts.mapInArrow(_with_least, StructType([*texts.schema.fields]).add("least", ArrayType(IntegerType())))
     roots = _linked(met, stored(texts, "texts"))
 
     known = signed.select("line_id", "first_doc", "n").join(
@@ -164,38 +342,46 @@ def line_components(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 def _linked(met: DataFrame, texts: DataFrame) -> DataFrame:
     """Components of the lines that are alike: ``node, root``.
 
-    Buckets of a few lines compare all of them, once. In the others every line meets leaders: a
-    star, never all pairs. Those that still hold lines of different components then elect
-    others, twice as many each time, until a round finds no link; then all pairs of different
-    components left in them are compared.
+    All lines of a bucket are compared, within one task, or those of a large one by pairs of its
+    slices, a task for each. As every line goes to as many tasks as there are slices, a bucket of
+    more slices than leaders meets its leaders first, a star, twice as many each time, and is
+    left out as soon as it holds one component.
     """
-    held = met.groupBy("band").agg(F.count(F.lit(1)).alias("held"))
-    large = small(stored(held.filter(F.col("held") > SMALL_BUCKET).select("band"), "large"))
-    alone = met.withColumn("root", F.col("line_id"))
-    crowd = stored(met.join(large, "band", "left_semi"), "crowd")
-    few = alone.join(large, "band", "left_anti")
-    beside = few.select("band", F.col("line_id").alias("other"), F.col("root").alias("its_root"))
-    first = _met_leaders(crowd.withColumn("root", F.col("line_id")), 0)
-    compared = stored(_pairs(few.join(beside, "band")).unionByName(first).distinct(), "pairs")
-    roots = stored(components(_alike(compared, texts)), "roots")
-    turn = 1
+    lengths = texts.select("line_id", F.length("line").alias("size"))
+    sized = met.join(lengths, "line_id").groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    slices = F.greatest(F.ceil(F.col("n") / TILE), F.ceil(F.col("size") / TILE_CHARS)).cast("int")
+    large = sized.select("band", slices.alias("slices")).filter(F.col("slices") > 1)
+    large = small(stored(large, "large"))
+    cut = met.join(large, "band", "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
+    alone = cut.withColumn("root", F.col("line_id"))
+    found = stored(_alike_in_tiles(alone.filter(F.col("slices") <= LEADERS), texts), "links")
+    roots = stored(components(found), "roots")
+    crowd, turn = stored(met.join(large.filter(F.col("slices") > LEADERS), "band"), "crowd"), 0
     while not crowd.isEmpty():
-        crowd, lines = _open_lines(crowd, roots)
-        pairs = _met_leaders(lines, turn).join(compared, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        found = stored(_alike(pairs, texts), "links")
-        compared = compared.unionByName(pairs)
-        if found.isEmpty():
-            # Leaders find no more: every pair of lines of different components that still share
-            # a bucket is compared once, so that no link is lost.
-            beside = lines.select("band", F.col("line_id").alias("other"), F.col("root").alias("its_root"))
-            rest = stored(_pairs(lines.join(beside, "band")).join(compared, ["a", "b"], "left_anti"), "pairs")
-            return _joined(roots, stored(_alike(rest, texts), "links"))
-        roots = _joined(roots, found)
+        lines = _open_lines(crowd, roots)[1]
+        roots = _joined(roots, stored(_alike(stored(_met_leaders(lines, turn), "pairs"), texts), "links"))
         turn += 1
+        lines = _open_lines(crowd, roots)[1].join(large, "band")
+        few = lines.filter(F.col("slices") <= LEADERS << turn)
+        roots = _joined(roots, stored(_alike_in_tiles(few, texts), "links"))
+        crowd = lines.filter(F.col("slices") > LEADERS << turn).select("line_id", "band")
     return roots
 
 
+def _alike_in_tiles(lines: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links that join the lines of each bucket: of ``line_id, band, slices, root``."""
+    own = F.when(F.col("slices") > 1, F.pmod(F.xxhash64("line_id"), "slices")).otherwise(0).cast("int")
+    met = lines.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    tile = F.when(F.col("slices") == 1, F.col("band")).otherwise(
+        F.xxhash64("band", F.least("own", "other"), F.greatest("own", "other"))
+    )
+    side = F.when(F.col("own") == F.col("other"), -1).otherwise((F.col("own") > F.col("other")).cast("int"))
+    placed = met.select("line_id", "root", tile.alias("tile"), side.alias("side")).join(
+        texts.select("line_id", "line", F.length("line").alias("size"), "least"), "line_id"
+    )
+    return placed.repartition("tile").sortWithinPartitions("tile").mapInArrow(_tile_links, "a long, b long")
+
+
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     """The components of ``roots`` joined by new ``links``: each node's edge to its root stands
     for all links found before, so the union-find only walks the new ones."""
