@@ -25,6 +25,7 @@ BLOCK, CACHED = 1 << 20, 1 << 16
 FILL = "\U0010ffff"
 # The order of each permutation: the hash with these bits turned.
 TURNED = np.random.RandomState(5).randint(0, 1 << 32, BANDS * ROWS, np.uint32)
+NO_RUNS = np.zeros(0, np.uint64)
 # Leaders of a bucket in the first round.
 LEADERS = 32
 # Lines, and characters of them, of a bucket that one task compares at once; larger ones are cut up.
@@ -201,18 +202,30 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     held += 0 if key in lines else len(line)
                     lines[key] = line
                 end += 1
-            runs, starts = _runs(list(lines.values()))
-            split = np.split(runs, starts[1:])
-            sets = {key: np.unique(x) for key, x in zip(lines, split, strict=True)}
+            sets = dict(zip(lines, _sets(list(lines.values())), strict=True))
             alike = [i for i in range(at, end) if _near(sets[a[i]], sets[b[i]])]
             yield batch.select(["a", "b"]).take(pa.array(alike, pa.int64()))
             at = end
 
 
+def _sets(lines: list[str]) -> list[np.ndarray]:
+    """The hashes of each line's runs, in order, each once."""
+    runs, starts = _runs(lines)
+    ends = [*starts[1:].tolist(), len(runs)]
+    for start, end in zip(starts.tolist(), ends, strict=True):
+        runs[start:end].sort()
+    new = np.ones(len(runs), bool)
+    new[1:] = runs[1:] != runs[:-1]
+    new[starts] = True
+    return np.split(runs[new], np.cumsum(np.add.reduceat(new, starts, dtype=np.int64))[:-1])
+
+
 def _near(one: np.ndarray, other: np.ndarray) -> bool:
     if min(len(one), len(other)) < SIMILARITY * max(len(one), len(other)):
         return False
-    both = len(np.intersect1d(one, other, assume_unique=True))
+    every = np.concatenate([one, other])
+    every.sort()
+    both = np.count_nonzero(every[1:] == every[:-1])
     return both >= SIMILARITY * (len(one) + len(other) - both)
 
 
@@ -243,54 +256,82 @@ def _linked_rows(rows: pa.Table) -> Iterator[pa.RecordBatch]:
     least = least.reshape(len(ids), BANDS * ROWS)
     bounds = np.append(np.flatnonzero(np.append(True, tiles[1:] != tiles[:-1])), len(ids))
     size = rows.column("size").to_numpy()
-    open_pairs, wanted, held = [], set(), 0
+    open_pairs, wanted, held = [], [], 0
     for low, high in zip(bounds[:-1], bounds[1:], strict=True):
-        pairs = _likely(least[low:high], roots[low:high], sides[low:high], low)
+        pairs = _likely(least[low:high], roots[low:high], sides[low:high])
         if pairs:
             open_pairs.append((low, high, pairs))
-            new = {x for i, others in pairs for x in (i, *others.tolist())} - wanted
-            wanted |= new
-            held += int(size[list(new)].sum())
+            new = low + np.unique(np.concatenate([x for i, others in pairs for x in ([i], others)]))
+            wanted.extend(new.tolist())
+            held += int(size[new].sum())
         if held > BLOCK:
-            yield _compared(rows, ids, roots, open_pairs, sorted(wanted))
-            open_pairs, wanted, held = [], set(), 0
+            yield _compared(rows, ids, roots, open_pairs, wanted)
+            open_pairs, wanted, held = [], [], 0
     if open_pairs:
-        yield _compared(rows, ids, roots, open_pairs, sorted(wanted))
+        yield _compared(rows, ids, roots, open_pairs, wanted)
 
 
-def _likely(least: np.ndarray, roots: np.ndarray, sides: np.ndarray, low: int) -> list:
+def _likely(least: np.ndarray, roots: np.ndarray, sides: np.ndarray) -> list:
     """Per line of a tile, the later ones of other roots that agree on ``LEAST_EQUAL`` minhashes."""
     found = []
     for i in range(len(least) - 1):
-        fit = np.count_nonzero(least[i + 1 :] == least[i], axis=1) >= LEAST_EQUAL
+        fit = (least[i + 1 :] == least[i]).sum(axis=1, dtype=np.int8) >= LEAST_EQUAL
         fit &= roots[i + 1 :] != roots[i]
         if sides[i] >= 0:
             fit &= sides[i + 1 :] != sides[i]
-        others = np.flatnonzero(fit)
+        others = fit.nonzero()[0]
         if len(others):
-            found.append((low + i, others + (low + i + 1)))
+            found.append((i, others + (i + 1)))
     return found
 
 
 def _compared(rows: pa.Table, ids: np.ndarray, roots: np.ndarray, tiles: list, wanted: list) -> pa.RecordBatch:
     # A line that stands in several tiles is cut into runs once.
-    at = {ids[i]: i for i in wanted}
+    at = dict(zip(ids[wanted].tolist(), wanted, strict=True))
     texts = _texts(rows.column("line").take(pa.array(list(at.values()))).combine_chunks())
-    runs, starts = _runs(texts)
-    sets = {key: np.unique(x) for key, x in zip(at, np.split(runs, starts[1:]), strict=True)}
+    sets = dict(zip(at, _sets(texts), strict=True))
     a, b = [], []
     for low, high, pairs in tiles:
-        labels = np.unique(roots[low:high], return_inverse=True)[1]
+        labels, own = roots[low:high].copy(), ids[low:high].tolist()
+        many = sum(len(others) for _, others in pairs) > 2 * (high - low)
+        fits = _Fits([sets.get(x, NO_RUNS) for x in own]) if many else None
         for i, others in pairs:
-            one = sets[ids[i]]
-            for j in others:
-                if labels[i - low] != labels[j - low] and _near(one, sets[ids[j]]):
-                    labels[labels == labels[j - low]] = labels[i - low]
-                    a.append(ids[i])
-                    b.append(ids[j])
+            if many:
+                others = fits(i, others[labels[others] != labels[i]])
+            for j in others.tolist():
+                if labels[i] != labels[j] and _near(sets[own[i]], sets[own[j]]):
+                    labels[labels == labels[j]] = labels[i]
+                    a.append(own[i])
+                    b.append(own[j])
     return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+class _Fits:
+    """Of the lines ``others``, those that may be near a line.
+
+    Runs are counted by the last bits of their hashes, so at least as many as agree; fewer than
+    near lines share rule a line out.
+    """
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.size = np.array([len(x) for x in sets])
+        bits = min(max(16, int(64 * self.size.max()).bit_length()), 20)
+        self.held = np.zeros(1 << bits, np.int32)
+        self.slots = [(x & np.uint64((1 << bits) - 1)).astype(np.int64) for x in sets]
+
+    def __call__(self, one: int, others: np.ndarray) -> np.ndarray:
+        size, sizes = self.size[one], self.size[others]
+        fit = np.minimum(size, sizes) >= SIMILARITY * np.maximum(size, sizes)
+        others, sizes = others[fit], sizes[fit]
+        if not len(others):
+            return others
+        self.held[self.slots[one]] = 1
+        every = self.held[np.concatenate([self.slots[j] for j in others])]
+        self.held[self.slots[one]] = 0
+        both = np.add.reduceat(every, np.append(0, np.cumsum(sizes)[:-1]))
+        return others[both >= SIMILARITY * (size + sizes - both)]
+
+
 def line_components(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """Lines that occur again, and where the first one of their kind stands.
 
