@@ -496,8 +496,9 @@ def dedup_lines(
     keep their order. Lines are cut at line feeds. Two lines are alike when the sets of all their
     runs of 12 characters have a Jaccard similarity of 0.8 or more. Candidates come from 9 bands of 3
     minhashes of those sets (99.8 % at 0.8); each is verified exactly, and a distributed union-find
-    joins them. Signatures and the comparison are numpy in Arrow batches, the rest is DataFrames. Buckets of up to 32 lines are compared in full; in larger ones lines meet 32 leaders, then 64
-    others, and so on until a round finds no link, then all pairs of lines of different components left in one bucket. The line that stays is the first in the document with the smallest doc_id that
+    joins them. Signatures and the comparison are numpy in Arrow batches, the rest is DataFrames. All
+    lines of a bucket are compared, a large one by pairs of its slices, after rounds of leaders if
+    there are very many. The line that stays is the first in the document with the smallest doc_id that
     has one. Lines of fewer than ``min_chars`` characters beside blanks stay, as headings,
     brackets and empty lines do.
 
